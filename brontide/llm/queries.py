@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_path
-from . import packing, token_count, token_files
+from . import licenses, mixing, packing, token_count, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), window=2048, end_id=1)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -28,5 +36,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_table(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op9_token_files, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_license_scan, op8_mixing, op9_token_files, op10_token_counts)}
+ORACLE_SQL = {"op8_mixing": mixing.ORACLE}
