@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_path
-from . import licenses, mixing, packing, token_count, token_files
+from . import licenses, mixing, packing, token_count, token_files, toxicity
+from .linear import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), window=2048, end_id=1)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0))
+    out = toxicity.scored(docs, model)
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -36,5 +44,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_table(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_license_scan, op8_mixing, op9_token_files, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_license_scan, op8_mixing, op9_token_files, op10_token_counts)}
 ORACLE_SQL = {"op8_mixing": mixing.ORACLE}
