@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_path
-from . import language_id, licenses, mixing, ngram_join, packing, token_count, token_files, toxicity
+from . import language_id, licenses, mixing, ngram_join, packing, token_count, token_files, topk_search, toxicity, vector_dedup
 from .linear import fold
 
 
@@ -34,6 +34,14 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
@@ -55,5 +63,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_table(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_license_scan, op4_ngram_join, op7_language_id, op8_mixing, op9_token_files, op10_token_counts)}
-ORACLE_SQL = {"op8_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_license_scan, op4_ngram_join, op5_topk_search, op6_vector_dedup, op7_language_id, op8_mixing, op9_token_files, op10_token_counts)}
+ORACLE_SQL = {"op5_topk_search": topk_search.ORACLE, "op6_vector_dedup": vector_dedup.ORACLE, "op8_mixing": mixing.ORACLE}
