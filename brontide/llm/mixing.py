@@ -42,8 +42,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), mos
     capped = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     open_weight = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     rows = rows.withColumn("level", (total - capped) / open_weight)
-    level = F.min(F.when(F.col("level") <= F.col("fills_at"), F.col("level"))).over(Window.partitionBy())
-    # the first source that isn't capped has the lowest of these levels
+    rows = rows.withColumn("turn", F.row_number().over(order))
+    # the level follows from the first source, in order of filling, that isn't capped
+    level = F.min(F.when(F.col("level") <= F.col("fills_at"), F.struct("turn", "level"))).over(Window.partitionBy())["level"]
     return rows.withColumn("at", F.coalesce(level, F.lit(0.0))).select("source", "source_size", F.least("cap", F.col("at") * F.col("weight")).alias("target"))
 
 
@@ -113,9 +114,9 @@ WITH d AS (
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 1.0::DOUBLE + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s),
 c AS (SELECT *, source_size * 3.0::DOUBLE AS cap, source_size * 3.0::DOUBLE / weight AS fills_at FROM w),
-l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER (ORDER BY fills_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+l AS (SELECT *, row_number() OVER (ORDER BY fills_at, source NULLS LAST) AS turn, ((sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER (ORDER BY fills_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / sum(weight) OVER (ORDER BY fills_at, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
-t AS (SELECT source, source_size, least(cap, coalesce((SELECT min(level) FROM l WHERE level <= fills_at), 0) * weight) AS target FROM l),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, turn) FROM l WHERE level <= fills_at), 0) * weight) AS target FROM l),
 b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS copies FROM t),
 h AS (SELECT source, place, sum(size)::BIGINT AS n FROM d GROUP BY ALL),
 r AS (SELECT h.*, b.target - b.copies * b.source_size AS budget, sum(n) OVER (PARTITION BY h.source ORDER BY place) AS upto
