@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import staged
+from ..sources.scratch import drop_staged, staged
 from .components import components
 
 #: Bytes of text hashed at once, n-grams of a block of a large group, hash seeds for parts without content.
@@ -246,24 +246,65 @@ class Region:
 
 
 def _profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions."""
+    """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions (of a key's first row in a task)."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(n)
+        hasher, met = Hasher(n), set()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 sets = hasher.sets(batch.column("text").to_pylist())
                 keys = [key_of(s) if len(s) else None for s in sets]
-                regions = signatures(sets, percent)
+                none = np.zeros(0, _U)
+                fresh = []
+                for s, key in zip(sets, keys, strict=True):
+                    fresh.append(none if key in met else s)
+                    met.add(key)
+                if len(met) > 500_000:  # a repeated copy costs time only
+                    met.clear()
+                regions = signatures(fresh, percent)
                 ends = np.cumsum([0, *map(len, regions)]).astype("int32")
-                flat = np.concatenate(regions).view(np.int64) if regions else np.zeros(0, np.int64)
+                flat = np.concatenate(regions).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "key", "regions"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(told, f"doc_id {kind}, n_shingles long, key long, regions array<long>")
 
 
+def _stars(entries: DataFrame) -> DataFrame:
+    """a, b: each key of a region with the region's smallest key, from rows (region, key).
+
+    One range shuffle on (region, key): however many keys a region has, they are split evenly and
+    streamed in order, with the current smallest key as the only state. A region that spans tasks is
+    put together from what each task says of its first and last region.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region = lead = start = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            r, k = batch.column("region").to_numpy(), batch.column("key").to_numpy()
+            first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            leads = k[first]
+            if region == r[0]:
+                leads = np.concatenate(([lead], leads[1:]))
+            if start is None:
+                start = (int(r[0]), int(k[0]))
+            led = np.repeat(leads, np.diff(np.append(first, len(r))))
+            region, lead = int(r[-1]), int(led[-1])
+            other = k != led
+            pairs = np.unique(np.stack((k[other], led[other]), 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], ["a", "b", "region"])
+        if start is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([start[1], lead], pa.int64()), pa.nulls(2, pa.int64()), pa.array([start[0], region], pa.int64())], ["a", "b", "region"])
+
+    told_rows = staged(entries.repartitionByRange("region", "key").sortWithinPartitions("region", "key").mapInArrow(told, "a long, b long, region long"), "stars")
+    edge = told_rows.where("region is not null")
+    lead = edge.groupBy("region").agg(F.min("a").alias("b"))
+    return told_rows.where("region is null").select("a", "b").union(edge.select("a", "region").join(lead, "region").select("a", "b")).where("a <> b").distinct()
+
+
 def _joined(members: DataFrame, n: int, percent: int) -> DataFrame:
     """a, b: links between the members (group, block, text) of each group that connect what is similar."""
 
@@ -286,19 +327,18 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     read. Sets are compared by 64-bit hashes of their n-grams.
     """
     rows = staged(_profiles(docs, n, percent), "profiles")
-    slim = rows.select("doc_id", "n_shingles", "key")
+    slim = staged(rows.select("doc_id", "n_shingles", "key"), "sets")
+    groups = staged(components(_stars(rows.select("key", F.explode("regions").alias("region")))), "groups")
+    drop_staged(rows)
     classes = slim.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
-    entries = rows.select("key", F.explode("regions").alias("region"))
-    shared = entries.groupBy("region").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead <> last").select("region", "lead")
-    candidates = entries.join(shared, "region").where("key <> lead").select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
-    groups = staged(components(candidates), "groups")
     members = groups.join(classes, groups["node"] == classes["key"]).select(F.col("component").alias("group"), "key", F.col("first").alias("doc_id"), "n")
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     members = members.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = F.transform(other, lambda j: F.least("own", j) * F.col("blocks") + F.greatest("own", j))
     members = staged(members.withColumn("pairs", pairs).drop("own"), "members")
-    keyed = docs.select("doc_id", "text").join(members.select("doc_id", "group", "pairs"), "doc_id")
+    # merged, not broadcast, at every size: what is a member grows with the input
+    keyed = docs.select("doc_id", "text").hint("merge").join(members.select("doc_id", "group", "pairs"), "doc_id")
     links = staged(_joined(keyed.select("group", "text", F.explode("pairs").alias("block")), n, percent), "links")
     found = components(links)
     heads = classes.join(found, classes["key"] == found["node"], "left").select("key", "first", F.coalesce("component", "key").alias("component"))
