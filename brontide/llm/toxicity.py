@@ -24,8 +24,8 @@ from .linear import sample
 
 #: Lengths of word beginnings that are forms of their own.
 BEGINNINGS = (6, 5, 4, 3)
-#: Bounds: training documents of a class, forms of the model, remembered words of a worker.
-PER_CLASS, FORMS, MEMORY = 3_000, 20_000, 500_000
+#: Bounds: training documents of a class, forms of the model, and what a worker holds: words with scores, counted forms.
+PER_CLASS, FORMS, MEMORY, COUNTED = 3_000, 20_000, 200_000, 60_000
 STRIP = "\"'.,;:!?()[]{}<>*_~`#%&$@^+=|/\\-–—«»“”„…¿¡"
 
 
@@ -122,7 +122,7 @@ def _counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text, half, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "half", "toxic")), strict=True):
                 seen[half, toxic].update({f for w in set((text or "").split()) for f in forms(w)})
-                if sum(map(len, seen.values())) > MEMORY:
+                if sum(map(len, seen.values())) > COUNTED:
                     yield told()
         yield told()
 
