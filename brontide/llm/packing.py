@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import staged
-from .vocab import WordIds
+from .vocab import WordIds, kept
 
 #: Rows of the plan: a length's ordinals from ``ordinal`` on go, ``each`` to a sequence, to ``sequence`` and those after it, at ``offset``.
 PLAN = ("length", "ordinal", "sequence", "each", "offset")
@@ -77,7 +77,7 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int, window: int, keep_i
     """doc_id, doc_tokens, crcs (of each piece, windows first) and, if asked for, the ids themselves."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(vocab_path, glued=False)
+        words = kept(WordIds, vocab_path, False)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import LONGEST, MEMORY, cut_at_spaces
+from .vocab import LONGEST, MEMORY, cut_at_spaces, kept
 
 #: Fixed value: how the byte-level tokenizer of the vocabulary file cuts a text before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -118,7 +118,7 @@ def token_table(docs: DataFrame, vocab_path: str, limit: int = 1024) -> DataFram
     """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``; other columns are not read."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = MergeCounter(vocab_path)
+        counter = kept(MergeCounter, vocab_path)
         for batch in batches:
             tokens = pa.array([counter.count(t) for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), tokens], ["doc_id", "n_bytes", "n_tokens"])

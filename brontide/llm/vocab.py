@@ -8,15 +8,32 @@ strings, or white space after a space) go to the library whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+import types
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Words that a worker remembers (about 150 bytes each), and the longest such word.
-MEMORY, LONGEST = 700_000, 64
+MEMORY, LONGEST = 900_000, 64
 _NOT_SINGLE = re.compile(r" (?:\s|\Z)")
+#: Letters from U+0250 on, and the dotted capital I, may have other forms than one lower-case letter.
+_BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
+
+
+def kept(make, *key):
+    """make(*key), made once in a Python worker and kept for its later tasks (one such thing at a time).
+
+    Functions travel to the workers by value, so their own module cannot hold what should outlive a task.
+    """
+    state = vars(sys.modules.setdefault("_brontide_worker", types.ModuleType("_brontide_worker")))
+    name = (make.__name__, *key)
+    if state.get("name") != name:
+        state |= {"name": name, "made": make(*key)}
+    return state["made"]
 
 
 def load(path: str):
@@ -53,6 +70,13 @@ class WordIds:
         #: Many words are encoded as one text; what marks where a word's ids begin.
         self.between = " " if glued else " \x01 "
         self.begins = np.zeros(n, bool)
+        #: The same tokenizer without its normalizer, for text that needs no more of it than lower case.
+        self.lower = None
+        if not glued:
+            spec = json.loads(self.tokenizer.to_str())
+            steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+            if steps == ["NFC", "Replace", "Lowercase"]:
+                self.lower = type(self.tokenizer).from_str(json.dumps(spec | {"normalizer": None}))
         if glued:
             space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
             self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
@@ -64,9 +88,12 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2_000):
-            part = words[at : at + 2_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.between + self.between.join(part)], add_special_tokens=False)[0].ids, "<u2")
+        for at in range(0, len(words), 1_000):
+            part = words[at : at + 1_000]
+            text, tokenizer = self.between + self.between.join(part), self.tokenizer
+            if self.lower and not _BEYOND_LATIN.search(text):
+                text, tokenizer = text.lower(), self.lower
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
             starts = np.flatnonzero(self.begins[ids])
             if len(starts) != len(part):
                 raise AssertionError("a word's first token isn't known by its mark")
@@ -83,13 +110,15 @@ class WordIds:
         known = self.known
         if len(known) > MEMORY:
             known.clear()
-        new = set().union(*batch).difference(known)
+        found = [list(map(known.get, words)) for words in batch]
+        open_ = [[i for i, x in enumerate(ids) if x is None] if None in ids else () for ids in found]
+        new = {words[i] for words, at in zip(batch, open_, strict=True) for i in at}
         odd = {w for w in new if len(w) > LONGEST or "\x01" in w or "<|" in w}
         self._learn(list(new - odd))
-        if odd:
-            space = " " if self.glued else ""
-            apart = {w: self._one(space + w) for w in odd}
-            ids = [b"".join([apart[w] if w in apart else known[w] for w in words]) for words in batch]
-        else:
-            ids = [b"".join(map(known.__getitem__, words)) for words in batch]
-        return list(map(bytes.__add__, heads, ids)) if heads else ids
+        space = " " if self.glued else ""
+        apart = {w: self._one(space + w) for w in odd}
+        for words, at, ids in zip(batch, open_, found, strict=True):
+            for i in at:
+                ids[i] = apart[words[i]] if words[i] in apart else known[words[i]]
+        out = list(map(b"".join, found))
+        return list(map(bytes.__add__, heads, out)) if heads else out
