@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vocab import WordIds
+from .vocab import WordIds, kept
 
 #: Parquet settings by coding; row groups of 16 MB and pages of at most 256 documents.
 LAYOUT = {"parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "256", "compression": "zstd"}
@@ -34,7 +34,7 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, end_id: int =
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shard, start = WordIds(vocab_path, glued=True), TaskContext.get().partitionId(), 0
+        words, shard, start = kept(WordIds, vocab_path, True), TaskContext.get().partitionId(), 0
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
@@ -53,7 +53,7 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, end_id: int =
 
 
 def shard_starts(table: DataFrame) -> DataFrame:
-    """shard, before: the ids of all earlier shards. One row per shard; reads no token."""
+    """shard, before: the ids of all earlier shards. One row (12 bytes) per task that wrote; reads no token."""
     sizes = table.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
@@ -62,7 +62,7 @@ def shard_starts(table: DataFrame) -> DataFrame:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids; columns not selected aren't read."""
     table = spark.read.parquet(path)
-    return table.join(shard_starts(table), "shard").select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
+    return table.join(F.broadcast(shard_starts(table)), "shard").select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
 
 
 def token_digests(table: DataFrame) -> DataFrame:
