@@ -113,20 +113,26 @@ def _verified(least: float):
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            met = (own[i] == own[j]) | (own[i] == probe[j]) | (probe[i] == own[j])
-            keep = met.argmax(1) == t  # in this table first
-            i, j = i[keep], j[keep]
+            for e in range(t):  # drop what has met in an earlier table; most pairs go at once
+                p, q, a, b = own[i, e], own[j, e], probe[i, e], probe[j, e]
+                keep = (p != q) & (p != b) & (a != q)
+                i, j = i[keep], j[keep]
             # of up to two buckets of the table: the common one of their own, else that of the smaller id if the other probes it
             a, b = own[i, t], own[j, t]
             keep = code == np.where((a == b) | (a == probe[j, t]), a, b)
             i, j = i[keep], j[keep]
             np.add.at(count, i, times[j])
             np.add.at(count, j, times[i])
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                a_, b_ = root(p), root(q)
-                if a_ != b_:
-                    of[a_] = b_
-                    links.append((p, q))
+            while len(i):  # join each row to its first partner elsewhere, until none is elsewhere
+                label = np.array([root(k) for k in range(len(ids))])
+                apart = label[i] != label[j]
+                i, j = i[apart], j[apart]
+                first = np.unique(i, return_index=True)[1]
+                for p, q in zip(i[first].tolist(), j[first].tolist(), strict=True):
+                    a_, b_ = root(p), root(q)
+                    if a_ != b_:
+                        of[a_] = b_
+                        links.append((p, q))
         hit = np.flatnonzero(count)
         a = [*ids[hit].tolist(), *(int(ids[p]) for p, _ in links)]
         b = [*([None] * len(hit)), *(int(ids[q]) for _, q in links)]
