@@ -3,9 +3,10 @@
 The size of the symmetric difference is a metric, and a pair that is similar enough differs in at
 most r elements, r following from the sizes. Cutting the universe of n-grams into r + 1 parts by a
 hash leaves at least one part on which such a pair agrees entirely: the contents of a part are the
-pivots of its regions, at distance zero. Documents that share a region of any part are candidates;
-their connected groups are joined exactly in the Jaccard metric by pivots, Voronoi cells widened by
-the triangle inequality, and recursion into the cells.
+pivots of its regions, at distance zero. Where the threshold leaves parts too small to tell texts
+apart, the regions are those of the rarest n-grams of each set instead. Documents that share a region
+are candidates; their connected groups are joined exactly in the Jaccard metric by pivots, Voronoi
+cells widened by the triangle inequality, and recursion into the cells.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import drop_staged, staged
+from ..sources.scratch import drop_staged, release, staged
 from .components import components
 
 #: Bytes of text hashed at once, n-grams of a block of a large group, hash seeds for parts without content.
@@ -245,8 +246,13 @@ class Region:
                 return
 
 
-def _profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions (of a key's first row in a task)."""
+def in_half(s: np.ndarray) -> np.ndarray:
+    """The elements in a fixed half of the universe."""
+    return s[(mix(s) & _U(1)) == 0]
+
+
+def _profiles(docs: DataFrame, n: int, of) -> DataFrame:
+    """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions: of(sets), for a key's first row in a task."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, met = Hasher(n), set()
@@ -262,7 +268,7 @@ def _profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     met.add(key)
                 if len(met) > 500_000:  # a repeated copy costs time only
                     met.clear()
-                regions = signatures(fresh, percent)
+                regions = of(fresh)
                 ends = np.cumsum([0, *map(len, regions)]).astype("int32")
                 flat = np.concatenate(regions).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "key", "regions"])
@@ -305,6 +311,48 @@ def _stars(entries: DataFrame) -> DataFrame:
     return told_rows.where("region is null").select("a", "b").union(edge.select("a", "region").join(lead, "region").select("a", "b")).where("a <> b").distinct()
 
 
+def _meet(entries: DataFrame) -> DataFrame:
+    """key, met: at most how many of a key's elements another key has too, from rows (region, key).
+
+    One range shuffle on (region, key), then a stream: an element is shared if its run of rows has two
+    keys. A run cut by the end of a batch counts as shared, so ``met`` is never too small.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            r, k = batch.column("region").to_numpy(), batch.column("key").to_numpy()
+            first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            last = np.append(first[1:], len(r)) - 1
+            shared = k[first] != k[last]
+            shared[[0, -1]] = True
+            row = np.repeat(shared, np.diff(np.append(first, len(r))))
+            row[1:] &= (r[1:] != r[:-1]) | (k[1:] != k[:-1])  # a repeated (region, key) counts once
+            keys, met = np.unique(k[row], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(met)], ["key", "met"])
+
+    rows = entries.repartitionByRange("region", "key").sortWithinPartitions("region", "key").mapInArrow(told, "key long, met long")
+    return rows.groupBy("key").agg(F.sum("met").alias("met"))
+
+
+def _rarest(elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """region, key: the rarest elements of each set, so many that sets similar enough have one of them in common.
+
+    ``elements`` has (region, key), ``sizes`` (key, n). A set of n elements shares at least percent of
+    them with such a partner, so in any order of all elements, the same for all sets, the first
+    n - ceil(percent * n) + 1 contain a common one. In order of frequency those are mostly elements
+    that nothing else has, and these give no candidates.
+    """
+    often = elements.groupBy("region").agg(F.count("*").alias("df")).where("df > 1")
+    shared = elements.join(often, "region")
+    alone = shared.groupBy("key").agg(F.count("*").alias("m")).join(sizes, "key")
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("m"))
+    room = alone.select("key", room.alias("room")).where("room > 0")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("df", "region"))
+    return shared.join(room, "key").withColumn("rank", rank).where(F.col("rank") <= F.col("room")).select("region", "key")
+
+
 def _joined(members: DataFrame, n: int, percent: int) -> DataFrame:
     """a, b: links between the members (group, block, text) of each group that connect what is similar."""
 
@@ -326,11 +374,29 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     same doc_id but different texts keep their own sets. Columns other than doc_id and text are not
     read. Sets are compared by 64-bit hashes of their n-grams.
     """
-    rows = staged(_profiles(docs, n, percent), "profiles")
+    spark, parts = docs.sparkSession, (100 + percent) / (3 * (100 - percent))  # elements of a part, about
+    by_parts = parts >= 6
+    of = (lambda sets: signatures(sets, percent)) if by_parts else (lambda sets: [in_half(s) for s in sets])
+    rows = staged(_profiles(docs, n, of), "profiles")
     slim = staged(rows.select("doc_id", "n_shingles", "key"), "sets")
-    groups = staged(components(_stars(rows.select("key", F.explode("regions").alias("region")))), "groups")
-    drop_staged(rows)
     classes = slim.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
+    entries = rows.select("key", F.explode("regions").alias("region"))
+    if not by_parts:
+        # parts would hold too few elements to tell texts apart. A set needs percent of its elements in common with
+        # one other, so at most the rest of them can be without any other set; count those in half of the universe
+        half = rows.where(F.size("regions") > 0).groupBy("key").agg(F.max(F.size("regions")).alias("half"))
+        met = staged(_meet(entries), "met")
+        near = classes.join(half, "key").join(met, "key", "left")
+        near = near.where(F.col("half") - F.coalesce("met", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+        near = staged(near.select("key", F.col("first").alias("doc_id"), "n"), "near")
+        release(spark)
+        texts = docs.select("doc_id", "text").hint("merge").join(near.select("doc_id"), "doc_id", "left_semi")
+        elements = staged(_profiles(texts, n, lambda sets: sets).select("key", F.explode("regions").alias("region")).distinct(), "elements")
+        release(spark)
+        entries = _rarest(elements, near.select("key", "n"), percent)
+    groups = staged(components(_stars(entries)), "groups")
+    drop_staged(rows)
+    release(spark)
     members = groups.join(classes, groups["node"] == classes["key"]).select(F.col("component").alias("group"), "key", F.col("first").alias("doc_id"), "n")
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     members = members.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
