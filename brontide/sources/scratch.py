@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,6 +38,12 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what has been written and is no longer referenced."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that no live DataFrame reads any more."""
     spark = df.sparkSession
