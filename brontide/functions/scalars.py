@@ -37,6 +37,7 @@ def window_start(ts: Column, width: int) -> Column:
 
 def epoch_ms(ts: Column) -> Column:
     """Milliseconds of a timestamp by the magnitude of its unit: s, ms, us or ns; floored; null beyond."""
+    ts = ts.cast("double")
     a = F.abs(ts)
     scaled = F.when(a < 1e11, ts * 1000).when(a < 1e14, ts).when(a < 1e17, ts / 1000).when(a < 1e20, ts / 1000000)
     return F.floor(scaled).cast("long")
