@@ -20,8 +20,8 @@ from ..sources.scratch import staged
 from .components import components
 from .vectors import matrix, usable
 
-#: Vectors of a block of a large bucket.
-BLOCK = 1_500
+#: Vectors of a block of a large bucket, and about how many rows of small buckets go into one group.
+BLOCK, PER_GROUP = 1_500, 2_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -90,13 +90,24 @@ def _verified(least: float):
     """Counts and spanning links within one block pair of one bucket, as a function for grouped tables."""
 
     def run(table: pa.Table) -> pa.Table:
-        t, code = table.column("table")[0].as_py(), table.column("code")[0].as_py()
-        ids, times = table.column("first").to_numpy(), table.column("times").to_numpy()
-        block, home = table.column("own_block").to_numpy(), table.column("home").to_numpy(zero_copy_only=False)
-        own, probe = matrix(table.column("own"), "i8"), matrix(table.column("probe"), "i8")
-        x = matrix(table.column("v"))
+        """Every bucket of a group of buckets (one bucket, if it is large)."""
+        table = table.sort_by([(c, "ascending") for c in ("label", "table", "code")])
+        label, t, code = (table.column(c).to_numpy() for c in ("label", "table", "code"))
+        cut = np.flatnonzero((label[1:] != label[:-1]) | (t[1:] != t[:-1]) | (code[1:] != code[:-1])) + 1
+        columns = {c: table.column(c).to_numpy() for c in ("first", "times", "own_block", "home")} | {c: matrix(table.column(c), k) for c, k in (("own", "i8"), ("probe", "i8"), ("v", "f8"))}
+        x = columns.pop("v")
         x = x / np.abs(x).max(1, keepdims=True)
-        x /= np.sqrt((x * x).sum(1, keepdims=True))
+        columns["x"] = x / np.sqrt((x * x).sum(1, keepdims=True))
+        same = table.column("left")[0].as_py() == table.column("right")[0].as_py()
+        out: list[tuple] = []
+        for start, end in zip([0, *cut.tolist()], [*cut.tolist(), len(t)], strict=True):
+            if end - start > 1:
+                out += bucket(int(t[start]), int(code[start]), same, **{c: y[start:end] for c, y in columns.items()})
+        a, b, n = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    def bucket(t: int, code: int, same: bool, first, times, own_block, home, own, probe, x) -> list[tuple]:
+        ids, block = first, own_block
         count, of, links = np.zeros(len(ids), np.int64), list(range(len(ids))), []
 
         def root(i: int) -> int:
@@ -105,7 +116,6 @@ def _verified(least: float):
                 i = of[i]
             return i
 
-        same = table.column("left")[0].as_py() == table.column("right")[0].as_py()
         for at in range(0, len(ids), 512):
             i, j = np.nonzero(x[at : at + 512] @ x.T >= least)
             i = i + at
@@ -127,17 +137,14 @@ def _verified(least: float):
                 label = np.array([root(k) for k in range(len(ids))])
                 apart = label[i] != label[j]
                 i, j = i[apart], j[apart]
-                first = np.unique(i, return_index=True)[1]
-                for p, q in zip(i[first].tolist(), j[first].tolist(), strict=True):
+                lead = np.unique(i, return_index=True)[1]
+                for p, q in zip(i[lead].tolist(), j[lead].tolist(), strict=True):
                     a_, b_ = root(p), root(q)
                     if a_ != b_:
                         of[a_] = b_
                         links.append((p, q))
         hit = np.flatnonzero(count)
-        a = [*ids[hit].tolist(), *(int(ids[p]) for p, _ in links)]
-        b = [*([None] * len(hit)), *(int(ids[q]) for _, q in links)]
-        n = [*count[hit].tolist(), *([0] * len(links))]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+        return [(i, None, n) for i, n in zip(ids[hit].tolist(), count[hit].tolist(), strict=True)] + [(int(ids[p]), int(ids[q]), 0) for p, q in links]
 
     return run
 
@@ -164,12 +171,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int = 10, h
     entries = coded.select("label", "d", "first", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "first", "e.*")
     bucket = ["label", "d", "table", "code"]
     sizes = entries.groupBy(*bucket).agg(F.count("*").alias("n"), F.max("home").alias("any")).where("n > 1 and any")
-    sizes = sizes.select(*bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    sizes = sizes.select(*bucket, "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    sizes = staged(sizes, "buckets")
+    entries_n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     entries = coded.select("label", "d", "first", "times", "v", "own", "probe", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "first", "times", "v", "own", "probe", "e.*")
-    entries = entries.join(sizes, bucket).withColumn("own_block", F.pmod(F.xxhash64("first"), F.col("blocks")).cast("int"))
+    entries = entries.join(sizes.drop("n"), bucket).withColumn("own_block", F.pmod(F.xxhash64("first"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    entries = entries.withColumn("o", other).withColumns({"left": F.least("own_block", "o"), "right": F.greatest("own_block", "o")}).drop("o", "blocks")
-    found = staged(entries.groupBy(*bucket, "left", "right").applyInArrow(_verified(least), "a long, b long, n long"), "found")
+    entries = entries.withColumn("o", other).withColumns({"left": F.least("own_block", "o"), "right": F.greatest("own_block", "o")}).drop("o")
+    # small buckets are dealt out many to a group, since a group costs more than they do
+    groups = 1 + entries_n // PER_GROUP
+    lot = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*bucket), F.lit(groups))).otherwise(F.xxhash64(*bucket))
+    entries = entries.withColumns({"lot": lot, "large": F.col("blocks") > 1})
+    found = staged(entries.groupBy("d", "large", "lot", "left", "right").applyInArrow(_verified(least), "a long, b long, n long"), "found")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     joined = components(found.where("b is not null").select("a", "b"))
     heads = classes.select("label", "v", "first", "times").join(counts, F.col("first") == F.col("a"), "left").join(joined, F.col("first") == F.col("node"), "left")
