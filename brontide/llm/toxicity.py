@@ -133,11 +133,15 @@ def _counts(docs: DataFrame) -> DataFrame:
 COUNTS = ("c0", "t0", "c1", "t1")
 
 
-def _log_odds(counts: DataFrame, toxic: Column, clean: Column, n_t: int, n_c: int, weight: float, z_least: float) -> dict[str, float]:
-    """Score of each form with clear evidence for toxic documents, the strongest FORMS of them at most.
+def _log_odds(counts: DataFrame, toxic: Column, clean: Column, weight: float, z_least: float, strength: float) -> dict[str, float]:
+    """Score of each form with clear and strong evidence for toxic documents, the strongest FORMS of them at most.
 
-    The prior of a form is its share of all documents, worth ``weight`` times as many documents.
+    Odds are among all forms of a class's documents, so that longer documents don't make every form
+    more frequent. The prior of a form is its share in both classes, worth ``weight`` times as much. A
+    form must reach ``strength`` times the log-odds of one that clean documents never have, and a
+    beginning goes if one longer form accounts for most of its toxic documents.
     """
+    n_t, n_c = counts.agg(F.coalesce(F.sum(toxic), F.lit(0)), F.coalesce(F.sum(clean), F.lit(0))).first()
     if not n_t or not n_c:
         return {}
     prior = weight * (n_t + n_c)
@@ -145,8 +149,16 @@ def _log_odds(counts: DataFrame, toxic: Column, clean: Column, n_t: int, n_c: in
     logit = lambda y, m: F.log((y + share) / (F.greatest(F.lit(float(m)) - y, F.lit(0.0)) + F.greatest(F.lit(prior) - share, F.lit(0.5))))
     delta = logit(toxic, n_t) - logit(clean, n_c)
     z = delta / F.sqrt(1 / (toxic + share) + 1 / (clean + share))
-    rows = counts.where(toxic + clean >= 3).select("form", delta.alias("d"), z.alias("z")).where((F.col("z") >= z_least) & (F.col("d") > 0))
-    return {r["form"]: r["d"] for r in rows.orderBy(F.desc("z"), "form").limit(FORMS).collect()}
+    least = strength * math.log((1 + weight) / weight * n_c / n_t)
+    rows = counts.where(toxic + clean >= 3).select("form", delta.alias("d"), z.alias("z"), toxic.alias("t")).where((F.col("z") >= z_least) & (F.col("d") >= least))
+    found = {r["form"]: r for r in rows.orderBy(F.desc("z"), "form").limit(FORMS).collect()}
+    most: dict[str, int] = {}  # toxic documents of the best longer form of each beginning
+    for form, r in found.items():
+        word = form.removesuffix("*")
+        for n in BEGINNINGS:
+            if n < len(word):
+                most[word[:n] + "*"] = max(most.get(word[:n] + "*", 0), r["t"])
+    return {form: r["d"] for form, r in found.items() if most.get(form, 0) < 0.7 * r["t"]}
 
 
 def _decay(positive: list[float], tokens: int, cost: float) -> float:
@@ -164,25 +176,24 @@ def _decay(positive: list[float], tokens: int, cost: float) -> float:
     return max(low, 0.05)
 
 
-def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.2, z_least: float = 4.0, cost: float = 0.05) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, z_least: float = 4.0, strength: float = 0.65, cost: float = 0.05) -> Model:
     """Model from ``docs`` (doc_id, text) whose ids ``labels`` (doc_id, toxic) marks.
 
     About PER_CLASS documents of each class are used (a fixed bound of the model). For the calibration
     each half of them is scored by the log-odds of the other half. Labels that contradict each other count as toxic; null
-    labels are ignored. Without documents of both classes every score is 0.
+    labels are ignored, and equal texts count once. Without documents of both classes every score is 0.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if len(share) < 2:
         return Model({}, offset=-30.0, known=False)
     chosen = sample(marks, "toxic", PER_CLASS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
-    sizes = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
     counts = staged(_counts(rows), "forms")
     c0, t0, c1, t1 = (F.col(c) for c in COUNTS)
-    n = lambda toxic, *halves: sum(sizes.get((h, toxic), 0) for h in halves)
-    other = [_log_odds(counts, t1, c1, n(1, 1), n(0, 1), prior, z_least), _log_odds(counts, t0, c0, n(1, 0), n(0, 0), prior, z_least)]
-    model = Model(_log_odds(counts, t0 + t1, c0 + c1, n(1, 0, 1), n(0, 0, 1), prior, z_least), cost)
+    odds = lambda toxic, clean: _log_odds(counts, toxic, clean, prior, z_least, strength)
+    other = [odds(t1, c1), odds(t0, c0)]
+    model = Model(odds(t0 + t1, c0 + c1), cost)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = [Scores(by_form=x) for x in other]
