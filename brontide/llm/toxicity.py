@@ -107,10 +107,10 @@ def text_segments(text: str | None, scores: Scores, cost: float) -> tuple[list[t
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """form, and in how many documents of each (half, toxic) it stands; one sum per task before the shuffle."""
+    """form, and in how many documents of each (part, toxic) it stands; one sum per task before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {(half, toxic): Counter() for half in (0, 1) for toxic in (0, 1)}
+        seen = {(part, toxic): Counter() for part in range(PARTS) for toxic in (0, 1)}
 
         def told() -> pa.RecordBatch:
             keys = list(set().union(*seen.values()))
@@ -120,37 +120,40 @@ def _counts(docs: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            for text, half, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "half", "toxic")), strict=True):
-                seen[half, toxic].update({f for w in set((text or "").split()) for f in forms(w)})
+            for text, part, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "part", "toxic")), strict=True):
+                seen[part, toxic].update({f for w in set((text or "").split()) for f in forms(w)})
                 if sum(map(len, seen.values())) > COUNTED:
                     yield told()
         yield told()
 
-    return docs.select("text", "half", "toxic").mapInArrow(counted, "form string, " + ", ".join(f"{c} long" for c in COUNTS)).groupBy("form").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    return docs.select("text", "part", "toxic").mapInArrow(counted, "form string, " + ", ".join(f"{c} long" for c in COUNTS)).groupBy("form").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-#: Documents of a form by half and class (c: clean, t: toxic).
-COUNTS = ("c0", "t0", "c1", "t1")
+#: Parts of the training documents: each is scored by the log-odds of the others. Documents of a form by class (c: clean, t: toxic) and part.
+PARTS = 5
+COUNTS = tuple(f"{toxic}{part}" for part in range(PARTS) for toxic in "ct")
 
 
-def _log_odds(counts: DataFrame, toxic: Column, clean: Column, weight: float, z_least: float, strength: float) -> dict[str, float]:
-    """Score of each form with clear and strong evidence for toxic documents, the strongest FORMS of them at most.
+def _log_odds(counts: DataFrame, toxic: Column, clean: Column, weight: float, margin: float, strength: float) -> dict[str, float]:
+    """Score of each form with clear and strong evidence for toxic documents, the clearest FORMS of them at most.
 
     Odds are among all forms of a class's documents, so that longer documents don't make every form
-    more frequent. The prior of a form is its share in both classes, worth ``weight`` times as much. A
-    form must reach ``strength`` times the log-odds of one that clean documents never have, and a
+    more frequent. The prior of a form is its share in both classes, worth ``weight`` times as much. The
+    likelihood ratio of a form against chance must exceed the number of forms by e ** ``margin``; it must reach ``strength`` times the log-odds of one that clean documents never have, and a
     beginning goes if one longer form accounts for most of its toxic documents.
     """
-    n_t, n_c = counts.agg(F.coalesce(F.sum(toxic), F.lit(0)), F.coalesce(F.sum(clean), F.lit(0))).first()
+    tried = toxic + clean >= 3
+    n_t, n_c, forms_ = counts.agg(F.coalesce(F.sum(toxic), F.lit(0)), F.coalesce(F.sum(clean), F.lit(0)), F.count_if(tried)).first()
     if not n_t or not n_c:
         return {}
     prior = weight * (n_t + n_c)
     share = (toxic + clean) * weight
     logit = lambda y, m: F.log((y + share) / (F.greatest(F.lit(float(m)) - y, F.lit(0.0)) + F.greatest(F.lit(prior) - share, F.lit(0.5))))
     delta = logit(toxic, n_t) - logit(clean, n_c)
-    z = delta / F.sqrt(1 / (toxic + share) + 1 / (clean + share))
+    gain = lambda y, m: F.when(y > 0, y * F.log(y * (n_t + n_c) / (m * (toxic + clean)))).otherwise(0.0)
+    ratio = gain(toxic, n_t) + gain(clean, n_c)
     least = strength * math.log((1 + weight) / weight * n_c / n_t)
-    rows = counts.where(toxic + clean >= 3).select("form", delta.alias("d"), z.alias("z"), toxic.alias("t")).where((F.col("z") >= z_least) & (F.col("d") >= least))
+    rows = counts.where(tried).select("form", delta.alias("d"), ratio.alias("z"), toxic.alias("t")).where((F.col("z") >= math.log(max(forms_, 1)) + margin) & (F.col("d") >= least))
     found = {r["form"]: r for r in rows.orderBy(F.desc("z"), "form").limit(FORMS).collect()}
     most: dict[str, int] = {}  # toxic documents of the best longer form of each beginning
     for form, r in found.items():
@@ -176,11 +179,11 @@ def _decay(positive: list[float], tokens: int, cost: float) -> float:
     return max(low, 0.05)
 
 
-def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, z_least: float = 4.0, strength: float = 0.65, cost: float = 0.05) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, margin: float = 1.0, strength: float = 0.65, cost: float = 0.05) -> Model:
     """Model from ``docs`` (doc_id, text) whose ids ``labels`` (doc_id, toxic) marks.
 
     About PER_CLASS documents of each class are used (a fixed bound of the model). For the calibration
-    each half of them is scored by the log-odds of the other half. Labels that contradict each other count as toxic; null
+    each of PARTS parts of them is scored by the log-odds of the others. Labels that contradict each other count as toxic; null
     labels are ignored, and equal texts count once. Without documents of both classes every score is 0.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -188,20 +191,19 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, z_least: float
     if len(share) < 2:
         return Model({}, offset=-30.0, known=False)
     chosen = sample(marks, "toxic", PER_CLASS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int"))
     counts = staged(_counts(rows), "forms")
-    c0, t0, c1, t1 = (F.col(c) for c in COUNTS)
-    odds = lambda toxic, clean: _log_odds(counts, toxic, clean, prior, z_least, strength)
-    other = [odds(t1, c1), odds(t0, c0)]
-    model = Model(odds(t0 + t1, c0 + c1), cost)
+    total = lambda toxic, without=None: sum((F.col(f"{toxic}{k}") for k in range(PARTS) if k != without), F.lit(0))
+    odds = lambda without=None: _log_odds(counts, total("t", without), total("c", without), prior, margin, strength)
+    other, model = [odds(k) for k in range(PARTS)], Model(odds(), cost)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = [Scores(by_form=x) for x in other]
         for batch in batches:
-            out = [text_segments(t, scores[h], cost) for t, h in zip(batch.column("text").to_pylist(), batch.column("half").to_pylist(), strict=True)]
+            out = [text_segments(t, scores[h], cost) for t, h in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([n for _, n in out], pa.int64()), pa.array([[s for *_, s in f] for f, _ in out], pa.list_(pa.float64()))], ["toxic", "n", "found"])
 
-    seen = rows.select("toxic", "half", "text").mapInArrow(measured, "toxic int, n long, found array<double>").collect()  # about twice PER_CLASS rows
+    seen = rows.select("toxic", "part", "text").mapInArrow(measured, "toxic int, n long, found array<double>").collect()  # about twice PER_CLASS rows
     clean = [r for r in seen if not r["toxic"]]
     model.decay = _decay([s for r in clean for s in r["found"]], sum(r["n"] for r in clean), cost)
     weight = sum(max(r["n"], 1) * math.exp(-model.decay * max(r["found"], default=0.0)) for r in clean)
