@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import asof, book, bursts, open_interest, quality, rollup, trades
+from ..operators import asof, book, bursts, display, open_interest, quality, rollup, trades
 from ..sources import tables as T
 
 HOUR = 3_600_000
@@ -482,3 +482,63 @@ def counter_deltas(spark, d):
 @query("""SELECT market, round((arg_max(idx, (ts, idx)) - arg_min(idx, (ts, idx))) / ((max(ts) - min(ts)) / 1000), 6) AS rate FROM (SELECT *, row_number() OVER (PARTITION BY market ORDER BY ts DESC, idx DESC) AS k FROM tape) WHERE k <= 50 GROUP BY market""")
 def rates(spark, d):
     return quality.rates(T.tape(spark, d).withColumn("counter", F.col("idx")), 50)
+
+
+# --- displays and monitors ------------------------------------------------------------------------
+
+
+@query("SELECT market, floor((a - greatest((b - a) * 0.1, 5)) / 5) * 5 AS lower, ceil((b + greatest((b - a) * 0.1, 5)) / 5) * 5 AS upper FROM (SELECT market, min(price) AS a, max(price) AS b FROM tape GROUP BY market)")
+def price_bounds(spark, d):
+    return display.price_bounds(T.tape(spark, d), 5.0)
+
+
+@query("""SELECT market, anchor, side, floor(price / 20) * 20 AS bin, least(sum(qty), 200) AS qty, count(*) AS levels, sum(qty) > 200 AS clipped FROM state GROUP BY market, anchor, side, floor(price / 20) * 20""")
+def display_grid(spark, d):
+    return display.display_grid(_state(spark, d), 20.0, 200.0)
+
+
+@query(""", c AS (SELECT market, side, price AS bin, sum(qty) AS qty FROM state GROUP BY ALL), o AS (SELECT *, row_number() OVER (PARTITION BY market, side ORDER BY qty DESC, bin) AS n FROM c),
+pick AS (SELECT market, side, 0::BIGINT AS n, []::DOUBLE[] AS bins, []::DOUBLE[] AS qtys FROM o GROUP BY ALL
+  UNION ALL SELECT p.market, p.side, o.n, CASE WHEN len(bins) < 4 AND len(list_filter(bins, lambda b: abs(b - o.bin) < 3)) = 0 THEN list_append(bins, o.bin) ELSE bins END, CASE WHEN len(bins) < 4 AND len(list_filter(bins, lambda b: abs(b - o.bin) < 3)) = 0 THEN list_append(qtys, o.qty) ELSE qtys END
+  FROM pick p JOIN o ON o.market = p.market AND o.side = p.side AND o.n = p.n + 1),
+fin AS (SELECT market, side, arg_max(bins, n) AS bins, arg_max(qtys, n) AS qtys FROM pick GROUP BY market, side)
+SELECT market, side, unnest(generate_series(1, len(bins)))::INTEGER AS rank, unnest(bins) AS bin, unnest(qtys) AS qty FROM fin""")
+def separated_peaks(spark, d):
+    cells = _state(spark, d).groupBy("market", "side", F.col("price").alias("bin")).agg(F.sum("qty").alias("qty"))
+    return display.separated_peaks(cells, ["market", "side"], 1.0)
+
+
+@query("""SELECT market, session, min(ts) AS first, max(ts) AS last, count(*) AS n FROM (SELECT market, ts, sum(c) OVER (PARTITION BY market ORDER BY ts) AS session FROM (SELECT market, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY market ORDER BY ts) <= $H THEN 0 ELSE 1 END AS c FROM tape)) GROUP BY ALL""")
+def session_groups(spark, d):
+    return display.sessions(T.tape(spark, d), HOUR)
+
+
+@query("""SELECT market, ts, round(mean, 6) AS mean, greatest(abs(hi - mean), abs(lo - mean)) > 0.5 * mean AS outlier FROM (SELECT market, ts, lo, hi, sum(s) OVER w / sum(n) OVER w AS mean FROM (SELECT market, h AS ts, sum(price) AS s, count(*) AS n, min(price) AS lo, max(price) AS hi FROM hours GROUP BY market, h)
+  WINDOW w AS (PARTITION BY market ORDER BY ts RANGE BETWEEN 30 * $H PRECEDING AND $H PRECEDING)) WHERE mean IS NOT NULL""")
+def price_outliers(spark, d):
+    return display.price_outliers(T.tape(spark, d), HOUR, 30, 0.5)
+
+
+@query("""SELECT market, ts, round((mid - b) / b * 1e4, 6) AS move_bps FROM (SELECT market, anchor AS ts, mid, last_value(mid) OVER (PARTITION BY market ORDER BY anchor RANGE BETWEEN UNBOUNDED PRECEDING AND 2 * $W PRECEDING) AS b FROM quotes) WHERE b IS NOT NULL""")
+def mid_moves(spark, d):
+    return display.mid_moves(book.features(_state(spark, d)).select("market", F.col("anchor").alias("ts"), "mid"), 2 * WEEK)
+
+
+@query("""SELECT market, idx, seq, CASE WHEN last IS NULL THEN 'unverifiable' WHEN seq <= last THEN 'duplicate' WHEN seq_start <= last + 1 THEN 'ok' ELSE 'gap' END AS verdict FROM (SELECT *, max(seq) OVER (PARTITION BY market ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM (
+  SELECT market, idx, idx - idx % 3 AS seq, idx - 8 AS seq_start FROM tape))""")
+def sequence_verdicts(spark, d):
+    events = T.tape(spark, d).select("market", "idx", (F.col("idx") - F.col("idx") % 3).alias("seq"), (F.col("idx") - 8).alias("seq_start"), F.lit(None).cast("long").alias("prev_seq"))
+    return display.sequence_verdicts(events).select("market", "idx", "seq", "verdict")
+
+
+@query("""SELECT market, idx, ts, greatest(ts, coalesce(max(CASE WHEN idx % 10 = 0 THEN ts + 5 * $H END) OVER (PARTITION BY market ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ts)) AS effective_ts FROM tape""")
+def snapshot_reorder(spark, d):
+    rows = T.tape(spark, d).select("market", "idx", "ts", F.when(F.col("idx") % 10 == 0, "snapshot").otherwise("update").alias("type"))
+    shifted = rows.withColumn("real", F.col("ts")).withColumn("ts", F.when(F.col("type") == "snapshot", F.col("ts") + 5 * HOUR).otherwise(F.col("ts")))
+    return display.lifted_after_snapshot(shifted).select("market", "idx", F.col("real").alias("ts"), "effective_ts")
+
+
+@query("""SELECT market, side AS channel, max((SELECT max(ts) FROM tape)) - max(ts) AS age, max((SELECT max(ts) FROM tape)) - max(ts) > CASE WHEN side = 'buy' THEN $H ELSE 2 * $H END AS silent FROM tape GROUP BY market, side""")
+def channel_silence(spark, d):
+    tape = T.tape(spark, d)
+    return display.silence(tape.select("market", F.col("side").alias("channel"), "ts"), tape.agg(F.max("ts")).first()[0], {"buy": HOUR}, 2 * HOUR)
