@@ -35,14 +35,21 @@ def depth_seeds(replies: DataFrame) -> DataFrame:
 _CANDLES = {"binance": ("$", (0, 1, 2, 3, 4, 5)), "bybit": ("$.result.list", (0, 1, 2, 3, 4, 5)), "okx": ("$.data", (0, 1, 2, 3, 4, 5)), "coinbase": ("$", (0, 3, 2, 1, 4, 5)), "bitfinex": ("$", (0, 1, 3, 4, 2, 5))}
 
 
+def _candle(names: tuple[str, ...], at: tuple[int, ...]):
+    def row(c: Column) -> Column:
+        values = [F.get(c, F.lit(i)).try_cast("double") for i in at]
+        return F.struct(epoch_ms(values[0]).alias(names[0]), *(v.alias(n) for n, v in zip(names[1:], values[1:], strict=True)))
+
+    return row
+
+
 def candles(replies: DataFrame) -> DataFrame:
     """market, ts (ms), open, high, low, close, volume of candle replies (market, body), one row a candle."""
     names = ("ts", "open", "high", "low", "close", "volume")
     out = F.lit(None).cast("array<struct<ts:bigint,open:double,high:double,low:double,close:double,volume:double>>")
     for name, (path, at) in _CANDLES.items():
         rows = F.from_json(F.col("body") if path == "$" else F.get_json_object("body", path), "array<array<string>>")
-        row = lambda c, at=at: F.struct(epoch_ms(F.get(c, F.lit(at[0])).try_cast("double")).alias("ts"), *(F.get(c, F.lit(i)).try_cast("double").alias(n) for n, i in zip(names[1:], at[1:], strict=True)))
-        out = F.when(exchange_of(F.col("market")) == name, F.transform(rows, row)).otherwise(out)
+        out = F.when(exchange_of(F.col("market")) == name, F.transform(rows, _candle(names, at))).otherwise(out)
     return replies.select("market", F.explode(out).alias("c")).select("market", "c.*").where("ts is not null and close is not null")
 
 
