@@ -246,9 +246,9 @@ class Region:
                 return
 
 
-def in_half(s: np.ndarray) -> np.ndarray:
-    """The elements in a fixed half of the universe."""
-    return s[(mix(s) & _U(1)) == 0]
+def in_third(s: np.ndarray) -> np.ndarray:
+    """The elements in a fixed third of the universe."""
+    return s[(mix(s) % _U(3)) == 0]
 
 
 def _profiles(docs: DataFrame, n: int, of) -> DataFrame:
@@ -376,21 +376,22 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """
     spark, parts = docs.sparkSession, (100 + percent) / (3 * (100 - percent))  # elements of a part, about
     by_parts = parts >= 6
-    of = (lambda sets: signatures(sets, percent)) if by_parts else (lambda sets: [in_half(s) for s in sets])
+    of = (lambda sets: signatures(sets, percent)) if by_parts else (lambda sets: [in_third(s) for s in sets])
     rows = staged(_profiles(docs, n, of), "profiles")
     slim = staged(rows.select("doc_id", "n_shingles", "key"), "sets")
     classes = slim.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
-    entries = rows.select("key", F.explode("regions").alias("region"))
+    entries, texts = rows.select("key", F.explode("regions").alias("region")), docs.select("doc_id", "text")
     if not by_parts:
         # parts would hold too few elements to tell texts apart. A set needs percent of its elements in common with
-        # one other, so at most the rest of them can be without any other set; count those in half of the universe
-        half = rows.where(F.size("regions") > 0).groupBy("key").agg(F.max(F.size("regions")).alias("half"))
+        # one other, so at most the rest of them can be without any other set; count those in a third of the universe
+        third = rows.where(F.size("regions") > 0).groupBy("key").agg(F.max(F.size("regions")).alias("third"))
         met = staged(_meet(entries), "met")
-        near = classes.join(half, "key").join(met, "key", "left")
-        near = near.where(F.col("half") - F.coalesce("met", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+        near = classes.join(third, "key", "left").join(met, "key", "left")
+        near = near.where(F.coalesce("third", F.lit(0)) - F.coalesce("met", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * percent / 100))
         near = staged(near.select("key", F.col("first").alias("doc_id"), "n"), "near")
         release(spark)
-        texts = docs.select("doc_id", "text").hint("merge").join(near.select("doc_id"), "doc_id", "left_semi")
+        texts = staged(docs.select("doc_id", "text").hint("merge").join(near.select("doc_id"), "doc_id", "left_semi"), "texts")
+        release(spark)
         elements = staged(_profiles(texts, n, lambda sets: sets).select("key", F.explode("regions").alias("region")).distinct(), "elements")
         release(spark)
         entries = _rarest(elements, near.select("key", "n"), percent)
@@ -404,7 +405,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     pairs = F.transform(other, lambda j: F.least("own", j) * F.col("blocks") + F.greatest("own", j))
     members = staged(members.withColumn("pairs", pairs).drop("own"), "members")
     # merged, not broadcast, at every size: what is a member grows with the input
-    keyed = docs.select("doc_id", "text").hint("merge").join(members.select("doc_id", "group", "pairs"), "doc_id")
+    keyed = texts.hint("merge").join(members.select("doc_id", "group", "pairs"), "doc_id")
     links = staged(_joined(keyed.select("group", "text", F.explode("pairs").alias("block")), n, percent), "links")
     found = components(links)
     heads = classes.join(found, classes["key"] == found["node"], "left").select("key", "first", F.coalesce("component", "key").alias("component"))
