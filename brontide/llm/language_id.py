@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linear import sample
+from .vocab import forget
 
 #: Bounds: training rows of a language, hash bits, and characters worked on at a time.
 PER_LANGUAGE, BITS, BLOCK = 400, 16, 1 << 18
@@ -140,6 +141,7 @@ def identified(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
     """The columns ``keep``, lang_pred and score of every row; equal rows get equal results."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             out = [model.predict(t) for t in batch.column("_text").to_pylist()]
             columns = [*(batch.column(i) for i in range(len(keep))), pa.array([a for a, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())]

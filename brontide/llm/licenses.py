@@ -125,3 +125,35 @@ def scan(docs: DataFrame, **options) -> DataFrame:
     text = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     score = F.greatest(F.coalesce("cover", F.lit(0.0)), F.when(F.col("n_base") > 0, 0.5).otherwise(0.0))
     return joined.select("doc_id", "n_words", F.when(F.col("n_base") < 0, 0).otherwise(F.col("n_base")).cast("long").alias("n_base"), "first_word", "last_word", text(F.col("base")).alias("base_labels"), text(F.concat("base", F.coalesce("found", empty))).alias("labels"), score.alias("score"), "spans")
+
+
+def oracle_sql(k: int = 3, drift: int = 2, cover: float = 0.6, density: float = 0.5) -> str:
+    """The columns of scan() but spans in DuckDB SQL, for documents with different ids."""
+    quoted = ", ".join("({}, '{}', '{}')".format(i, label, text.replace("'", "''")) for i, (label, text) in enumerate(NOTICES))
+    upper = "".join(map(chr, range(65, 91)))
+    split = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    gram = " || ' ' || ".join(f"ws[i + {j}]" for j in range(k))
+    rolled = f"unnest(list_transform(generate_series(1, len(ws) - {k - 1}), lambda i: {{'place': i - 1, 'g': {gram}}}))"
+    parts = {p: " AND ".join(f"coalesce(ws[i + {j}] = '{w}', false)" for j, w in enumerate(p.split(" "))) for p in PHRASES}
+    places = ", ".join(f"list_filter(generate_series(1, len(ws)), lambda i: {c}) AS p{n}" for n, c in enumerate(parts.values()))
+    every = "list_concat(" * (len(parts) - 1) + "p0" + "".join(f", p{n})" for n in range(1, len(parts)))
+    based = " || ".join(f"CASE WHEN len(p{n}) > 0 THEN ['{label}'] ELSE []::VARCHAR[] END" for n, label in enumerate(PHRASES.values()))
+    return rf"""
+WITH d AS (SELECT doc_id, {split} AS ws FROM documents),
+n AS (SELECT notice, label, {split} AS ws FROM (VALUES {quoted}) AS v(notice, label, text)),
+ng AS (SELECT notice, label, len(ws) - {k - 1} AS n_grams, x.place, x.g FROM (SELECT *, {rolled} AS x FROM n)),
+dg AS (SELECT doc_id, x.place AS pos, x.g FROM (SELECT doc_id, {rolled} AS x FROM d)),
+hits AS (SELECT doc_id, notice, label, n_grams, pos, place, pos - place AS diagonal FROM dg JOIN ng USING (g)),
+diagonals AS (SELECT DISTINCT doc_id, notice, diagonal FROM hits),
+cuts AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {drift} THEN 0 ELSE 1 END AS cut FROM diagonals WINDOW w AS (PARTITION BY doc_id, notice ORDER BY diagonal)),
+bands AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, notice ORDER BY diagonal) AS band FROM cuts),
+spans AS (SELECT doc_id, label, count(DISTINCT place) / any_value(n_grams) AS cover FROM hits JOIN bands USING (doc_id, notice, diagonal) GROUP BY doc_id, notice, label, band
+          HAVING count(DISTINCT place) / any_value(n_grams) >= {cover} AND count(DISTINCT place) / (max(pos) - min(pos) + 1) >= {density}),
+found AS (SELECT doc_id, list(DISTINCT label) AS found, max(cover) AS cover FROM spans GROUP BY doc_id),
+b AS (SELECT doc_id, len(ws)::BIGINT AS n_words, {places} FROM d),
+c AS (SELECT doc_id, n_words, {every} AS places, {based} AS base FROM b)
+SELECT c.doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+       array_to_string(list_sort(list_distinct(base)), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(found, []::VARCHAR[]))), ',') AS labels,
+       greatest(coalesce(cover, 0), CASE WHEN len(places) > 0 THEN 0.5 ELSE 0 END)::DOUBLE AS score
+FROM c LEFT JOIN found USING (doc_id)
+"""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import drop_staged, release, staged
 from .components import components
+from .vocab import forget
 
 #: Bytes of text hashed at once, n-grams of a block of a large group, hash seeds for parts without content.
 BATCH, BLOCK, SEEDS = 1 << 20, 1_000_000, 6
@@ -255,6 +256,7 @@ def _profiles(docs: DataFrame, n: int, of) -> DataFrame:
     """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions: of(sets), for a key's first row in a task."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher, met = Hasher(n), set()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -357,6 +359,7 @@ def _joined(members: DataFrame, n: int, percent: int) -> DataFrame:
     """a, b: links between the members (group, block, text) of each group that connect what is similar."""
 
     def told(table: pa.Table) -> pa.Table:
+        forget()
         sets = [s for s in Hasher(n).sets(table.column("text").to_pylist()) if len(s)]
         keys = [key_of(s) for s in sets]
         region = Region(sets, percent)
@@ -413,3 +416,19 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     least = heads.groupBy("component").agg(F.min("first").alias("least"))
     final = heads.join(least, "component").select(F.col("key").alias("k"), "least")
     return slim.join(final, slim["key"] == final["k"], "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def oracle_sql(n: int = 3, percent: int = 90) -> str:
+    """linked() in DuckDB SQL, for documents with different ids."""
+    upper = "".join(map(chr, range(65, 91)))
+    gram = " || ' ' || ".join(f"ws[i + {j}]" for j in range(n))
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= {n} THEN list_transform(generate_series(1, len(ws) - {n - 1}), lambda i: {gram}) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE []::VARCHAR[] END) AS g FROM w)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * k >= {percent} * (x.n + y.n - k)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, m.component_id FROM documents d LEFT JOIN c USING (doc_id) JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) m ON m.node = d.doc_id
+"""

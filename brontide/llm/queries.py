@@ -64,4 +64,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_license_scan, op4_ngram_join, op5_topk_search, op6_vector_dedup, op7_language_id, op8_mixing, op9_token_files, op10_token_counts)}
-ORACLE_SQL = {"op5_topk_search": topk_search.ORACLE, "op6_vector_dedup": vector_dedup.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLE_SQL = {"op3_license_scan": licenses.oracle_sql(), "op4_ngram_join": ngram_join.oracle_sql(3, 90), "op5_topk_search": topk_search.ORACLE, "op6_vector_dedup": vector_dedup.ORACLE, "op8_mixing": mixing.ORACLE}

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import staged
 from .linear import sample
+from .vocab import forget
 
 #: Lengths of word beginnings that are forms of their own.
 BEGINNINGS = (6, 5, 4, 3)
@@ -110,6 +111,7 @@ def _counts(docs: DataFrame) -> DataFrame:
     """form, and in how many documents of each (part, toxic) it stands; one sum per task before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen = {(part, toxic): Counter() for part in range(PARTS) for toxic in (0, 1)}
 
         def told() -> pa.RecordBatch:
@@ -198,6 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, margin: float =
     other, model = [odds(k) for k in range(PARTS)], Model(odds(), cost)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scores = [Scores(by_form=x) for x in other]
         for batch in batches:
             out = [text_segments(t, scores[h], cost) for t, h in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True)]
@@ -241,6 +244,7 @@ def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), s
     fields = [docs.schema[c] for c in keep]
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scores = Scores(by_form=model.by_form)
         for batch in batches:
             found = [text_segments(t, scores, model.cost) for t in batch.column("_text").to_pylist()]

@@ -18,7 +18,7 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Words that a worker remembers (about 150 bytes each), and the longest such word.
-MEMORY, LONGEST = 900_000, 64
+MEMORY, LONGEST = 700_000, 64
 _NOT_SINGLE = re.compile(r" (?:\s|\Z)")
 #: Letters from U+0250 on, and the dotted capital I, may have other forms than one lower-case letter.
 _BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
@@ -36,6 +36,12 @@ def kept(make, *key):
     return state["made"]
 
 
+def forget() -> None:
+    """Free what an earlier task of another operator has kept in this Python worker."""
+    vars(sys.modules.get("_brontide_worker", types.ModuleType("none"))).pop("made", None)
+    vars(sys.modules.get("_brontide_worker", types.ModuleType("none"))).pop("name", None)
+
+
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
