@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, margin: float =
     if len(share) < 2:
         return Model({}, offset=-30.0, known=False)
     chosen = sample(marks, "toxic", PER_CLASS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int"))
     counts = staged(_counts(rows), "forms")
     total = lambda toxic, without=None: sum((F.col(f"{toxic}{k}") for k in range(PARTS) if k != without), F.lit(0))
     odds = lambda without=None: _log_odds(counts, total("t", without), total("c", without), prior, margin, strength)
