@@ -50,11 +50,17 @@ def term_counts(text: str) -> np.ndarray:
     return total
 
 
-def features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values of the TF-IDF vector of unit length; terms count as 1 + ln(times)."""
+def terms(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed n-grams of a text and how often each stands: at most 2 ** BITS of them, however long the text."""
     counts = term_counts(text)
     at = np.flatnonzero(counts)
-    values = (1 + np.log(counts[at])) * idf[at]
+    return at, counts[at]
+
+
+def features(found: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and values of the TF-IDF vector of unit length; terms count as 1 + ln(times)."""
+    at, times = found
+    values = (1 + np.log(times)) * idf[at]
     length = np.sqrt((values * values).sum())
     return at, values / length if length else values
 
@@ -68,7 +74,7 @@ class Model:
     temperature: float = 1.0
 
     def logits(self, text: str) -> np.ndarray:
-        at, values = features(text, self.idf)
+        at, values = features(terms(text), self.idf)
         return (values @ self.weights[at] + self.bias) / self.temperature
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -115,15 +121,24 @@ def fit(docs: DataFrame, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02
     and every prediction is ``und``.
     """
     rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
-    rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in sample(rows, "lang", PER_LANGUAGE).collect())
-    languages = sorted({lang for _, lang, _ in rows})
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [terms(t) for t in batch.column("text").to_pylist()]
+            lists = [pa.array([x[i].astype("int64") for x in found], pa.list_(pa.int64())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *lists], ["doc_id", "lang", "at", "times"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    chosen = sample(rows, "lang", PER_LANGUAGE).select("doc_id", "lang", "text").mapInArrow(told, f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, at array<long>, times array<long>")
+    rows = [(lang, (np.array(at, np.int64), np.array(times, np.int64))) for _, lang, at, times in sorted(map(tuple, chosen.collect()))]
+    languages = sorted({lang for lang, _ in rows})
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0))
     seen = np.zeros(1 << BITS)
-    for *_, text in rows:
-        seen[term_counts(text) > 0] += 1
+    for _, (at, _) in rows:
+        seen[at] += 1
     idf = np.log((1 + len(rows)) / (1 + seen)) + 1
-    coded = [(*features(text, idf), languages.index(lang)) for _, lang, text in rows]
+    coded = [(*features(found, idf), languages.index(lang)) for lang, found in rows]
     held = [r for i, r in enumerate(coded) if i % 5 == 0] or coded
     weights, bias = _train([r for i, r in enumerate(coded) if i % 5] or coded, len(languages), alpha, beta, l1, l2, rounds)
     logits, y = np.array([v @ weights[at] + bias for at, v, _ in held]), np.array([y for *_, y in held])
