@@ -177,14 +177,18 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, shard_size: int = SHA
     queries = rows.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("v").alias("q"), "d")
     bound = F.aggregate(F.zip_with("q", "box", lambda q, b: F.greatest(q * b["low"], q * b["high"])), F.lit(0.0), lambda a, x: a + x)
     asked = queries.join(F.broadcast(boxes), "d").select("query_id", "q", *shard, bound.alias("bound"))
-    asked = staged(asked.withColumn("turn", F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("bound"), "cell", "piece"))), "asked")
+    # the best shard of a query is found before any shuffle: the maximum is combined where the bounds are made
+    best = asked.groupBy("query_id", "q").agg(F.max_by(F.struct(*shard), F.struct("bound", "cell", "piece")).alias("own"))
+    best = staged(best.select("query_id", "q", "own"), "asked")
 
     def searched(part: DataFrame) -> DataFrame:
         return rows.groupBy(*shard).cogroup(part.groupBy(*shard)).applyInArrow(_search(k), RESULT)
 
-    first = staged(searched(asked.where("turn = 1").withColumn("least", F.lit(None).cast("double"))), "found")
+    first = staged(searched(best.select("query_id", "q", "own.*", F.lit(None).cast("double").alias("least"))), "found")
     floors = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score").cast("double")).alias("least"))
-    rest = asked.where("turn > 1").join(floors, "query_id", "left").where("least is null or bound >= least")
+    # only the pairs of query and shard that may still give a better score go on
+    rest = best.join(floors, "query_id", "left").withColumn("d", F.col("own.d")).join(F.broadcast(boxes), "d").withColumn("bound", bound)
+    rest = rest.where((F.struct(*shard) != F.col("own")) & (F.col("least").isNull() | (F.col("bound") >= F.col("least")))).select("query_id", "q", *shard, "least")
     return _best(first.unionByName(searched(rest)), k).select("query_id", "rank", "vec_id", "score")
 
 
