@@ -9,7 +9,9 @@ which they meet, so no list of pairs is ever written: a bucket gives counts and
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ from .vectors import matrix, usable
 
 #: Vectors of a block of a large bucket, and about how many rows of small buckets go into one group.
 BLOCK, PER_GROUP = 1_500, 2_000
+#: A pair at the threshold meets in one of the tables at least this often, whatever the number of hashes; and the fewest tables.
+RECALL, FEWEST = 0.9995, 10
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -64,6 +68,27 @@ def polytope_codes(unit: np.ndarray, tables: int, hashes: int, seed: int = 11) -
     return own, probe
 
 
+@lru_cache
+def tables_for(d: int, least: float, hashes: int) -> int:
+    """Tables that give RECALL at cosine ``least`` with ``hashes`` in a row: measured on random pairs of that cosine.
+
+    More hashes make a bucket smaller and a pair's chance in one table lower, so they need more tables. A pair
+    meets in a table if one stands in its own bucket where the other stands or looks.
+    """
+    size = 1 << max(1, (d - 1).bit_length())
+    pairs, rounds, r = max(200, 128_000 // size), 8, np.random.default_rng(5)
+    x, y = r.normal(size=(2, pairs, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cosine = min(max(least, -1.0), 1.0)
+    (p, a), (q, b) = (polytope_codes(v, rounds, hashes, 12) for v in (x, cosine * x + math.sqrt(1 - cosine * cosine) * y))
+    met = ((p == q) | (p == b) | (a == q)).mean()
+    if met == 0:
+        raise ValueError(f"cosine {least} is too low for {hashes} hashes in {d} dimensions")
+    return FEWEST if met == 1 else max(FEWEST, math.ceil(math.log(1 - RECALL) / math.log(1 - met)))
+
+
 def _classes(rows: DataFrame) -> DataFrame:
     """Different vectors of a label: key, label, v, times, first (smallest id)."""
     return rows.groupBy("label", "v").agg(F.count("*").alias("times"), F.min("id").alias("first"))
@@ -149,22 +174,26 @@ def _verified(least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int = 10, hashes: int | None = None) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int | None = None, hashes: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding, label).
 
     Rows link when their labels are equal and not null and their cosine is at least ``least``. Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors
     of different length. Equal vectors of a label are compared once and counted as often as they stand;
     rows with one vec_id are separate rows of that id. ``hashes`` in a row name a bucket; by default so
-    many that a bucket of unrelated vectors stays small.
+    many that a bucket of unrelated vectors of the largest label stays small. ``tables`` follows from the
+    hashes by default, so that the links found don't depend on how large the table or another label is.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), "label", F.col("embedding").alias("v"))
     good = usable(F.col("v")) & F.exists("v", lambda x: x != 0) & F.col("label").isNotNull() & F.col("id").isNotNull()
     classes = staged(_classes(rows.where(good)).withColumn("d", F.size("v")), "classes")
+    most, d = classes.groupBy("label").agg(F.count("*").alias("n"), F.max("d").alias("d")).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("d"), F.lit(1))).first()
     if hashes is None:
         hashes = 1
-        while 128**hashes < classes.count() / 4 and hashes < 4:
+        while 128**hashes < most / 4 and hashes < 4:
             hashes += 1
+    if tables is None:
+        tables = tables_for(d, least, hashes)
     coded = staged(_coded(classes, tables, hashes), "codes")
     each = F.transform("own", lambda c, t: F.struct(t.alias("table"), c.alias("code"), F.lit(True).alias("home")))
     also = F.transform("probe", lambda c, t: F.struct(t.alias("table"), c.alias("code"), F.lit(False).alias("home")))

@@ -88,6 +88,23 @@ def test_near_duplicates_find_all_links(spark, monkeypatch, block):
         assert {i: g[:2] for i, g in got.items()} == want
 
 
+@pytest.mark.parametrize("hashes", [3, 4])
+def test_recall_at_the_threshold_does_not_fall_with_hashes(spark, hashes):
+    r, n = np.random.default_rng(8), 1_000
+    x, y = r.normal(size=(2, n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.9301 * x + np.sqrt(1 - 0.9301**2) * y
+    rows = [(2 * i + k, v[i].tolist(), 1) for i in range(n) for k, v in enumerate((x, y))]
+    got = {r.vec_id: r.n_links for r in vector_dedup.near_duplicates(vectors(spark, rows), 0.93, hashes=hashes).collect()}
+    assert set(got.values()) <= {0, 1} and sum(got.values()) >= 0.996 * 2 * n
+
+
+def test_tables_grow_with_hashes_and_dimensions():
+    assert vector_dedup.tables_for(64, 0.93, 1) == 10 <= vector_dedup.tables_for(64, 0.93, 2) < vector_dedup.tables_for(64, 0.93, 3) < vector_dedup.tables_for(64, 0.93, 4) < vector_dedup.tables_for(128, 0.93, 4)
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 32))
     y = vector_dedup.hadamard(x)
