@@ -401,9 +401,18 @@ def snapshot_diff(spark, d):
 
 @query("""SELECT p.idx, p.market, p.ts, (SELECT arg_min(i.id, (i.hi - i.lo, i.id)) FROM (SELECT market, burst AS id, start AS lo, "end" + $H AS hi FROM bursts) i WHERE i.market = p.market AND p.ts BETWEEN i.lo AND i.hi) AS interval_id FROM tape p WHERE p.idx % 3 = 0""")
 def late_to_batch(spark, d):
-    tape = T.tape(spark, d)
+    """Every third trade only, as in its counterpart; late_to_batch_all has them all."""
+    return _to_batch(T.tape(spark, d), "idx % 3 = 0")
+
+
+def _to_batch(tape, points="true"):
     batches = bursts.bursts(tape, GAP, CAP).select("market", F.col("burst").cast("long").alias("interval_id"), F.col("start").alias("lo"), (F.col("end") + HOUR).alias("hi"))
-    return asof.narrowest_interval(tape.where("idx % 3 = 0").select("idx", "market", "ts"), batches, ["market"], HOUR)
+    return asof.narrowest_interval(tape.where(points).select("idx", "market", "ts"), batches, ["market"], HOUR)
+
+
+@query("""SELECT p.idx, p.market, p.ts, arg_min(i.id, (i.hi - i.lo, i.id)) AS interval_id FROM tape p LEFT JOIN (SELECT market, burst AS id, start AS lo, "end" + $H AS hi FROM bursts) i ON i.market = p.market AND p.ts BETWEEN i.lo AND i.hi GROUP BY p.idx, p.market, p.ts""")
+def late_to_batch_all(spark, d):
+    return _to_batch(T.tape(spark, d))
 
 
 @query("""SELECT market, side, price, min(idx) AS idx FROM tape WHERE ts - ts % $D > (SELECT min(ts) FROM tape) + 10 * $D AND (market, side, price) NOT IN (SELECT (market, side, price) FROM tape WHERE ts - ts % $D <= (SELECT min(ts) FROM tape) + 10 * $D) GROUP BY ALL""")
