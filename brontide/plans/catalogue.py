@@ -385,6 +385,14 @@ def oi_normalize(spark, d):
 @query("""SELECT a.market, a.ts, l_orderkey, l_partkey, l_suppkey, l_extendedprice, s.ts AS sample_ts, CASE WHEN a.ts - s.ts <= 2 * $D THEN s.oi END AS oi, a.ts - s.ts AS age, CASE WHEN s.ts IS NULL THEN 'none' WHEN a.ts - s.ts > 2 * $D THEN 'stale' ELSE 'fresh' END AS status
   FROM (SELECT l_suppkey % 20 AS market, (epoch_us(l_shipdate) // 1000) AS ts, * FROM lineitem WHERE l_linenumber = 1) a ASOF LEFT JOIN (SELECT o_custkey % 20 AS market, (epoch_us(o_orderdate) // 1000) AS ts, arg_max(o_totalprice, o_orderkey) AS oi FROM orders GROUP BY 1, 2) s ON a.market = s.market AND a.ts >= s.ts""")
 def oi_asof(spark, d):
+    """The first line item of each order only, as in its counterpart; oi_asof_all has them all."""
+    out = open_interest.at_anchors(T.oi_anchors(spark, d).where("anchor.l_linenumber = 1"), T.oi_samples(spark, d), 2 * DAY)
+    return out.select("market", "ts", "anchor.*", "sample_ts", "oi", "age", "status").drop("l_linenumber")
+
+
+@query("""SELECT a.market, a.ts, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, s.ts AS sample_ts, CASE WHEN a.ts - s.ts <= 2 * $D THEN s.oi END AS oi, a.ts - s.ts AS age, CASE WHEN s.ts IS NULL THEN 'none' WHEN a.ts - s.ts > 2 * $D THEN 'stale' ELSE 'fresh' END AS status
+  FROM (SELECT l_suppkey % 20 AS market, (epoch_us(l_shipdate) // 1000) AS ts, * FROM lineitem) a ASOF LEFT JOIN (SELECT o_custkey % 20 AS market, (epoch_us(o_orderdate) // 1000) AS ts, arg_max(o_totalprice, o_orderkey) AS oi FROM orders GROUP BY 1, 2) s ON a.market = s.market AND a.ts >= s.ts""")
+def oi_asof_all(spark, d):
     out = open_interest.at_anchors(T.oi_anchors(spark, d), T.oi_samples(spark, d), 2 * DAY)
     return out.select("market", "ts", "anchor.*", "sample_ts", "oi", "age", "status")
 

@@ -57,4 +57,4 @@ def oi_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oi_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """market, ts, anchor: one moment per line item at which the latest sample is wanted."""
     i = table(spark, sf_dir, "lineitem")
-    return i.where("l_linenumber = 1").select((F.col("l_suppkey") % 20).alias("market"), millis(F.col("l_shipdate")).alias("ts"), F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice").alias("anchor"))
+    return i.select((F.col("l_suppkey") % 20).alias("market"), millis(F.col("l_shipdate")).alias("ts"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("anchor"))
