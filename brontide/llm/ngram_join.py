@@ -372,7 +372,8 @@ def _joined(members: DataFrame, n: int, percent: int) -> DataFrame:
 def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs``: components of 100 * common >= percent * union.
 
-    A null or empty text, or one of white space, has size 0, is linked with nothing and is its own
+    Only components are computed: what is already connected is not compared, so links are neither
+    listed nor counted. A null or empty text, or one of white space, has size 0, is linked with nothing and is its own
     component. Equal rows and texts with equal sets share a key and are compared once. Rows with the
     same doc_id but different texts keep their own sets. Columns other than doc_id and text are not
     read. Sets are compared by 64-bit hashes of their n-grams.
