@@ -4,7 +4,10 @@
 2. language: documents without a recognisable language go (no letter at all, or no language that is
    likelier than the others by any margin); every other document stays.
 3. near duplicates: of each component of documents that share 0.8 or more of their five-word
-   shingles, the one with the smallest doc_id stays. Documents too short for one word stay.
+   shingles, the one row with the smallest doc_id stays. Rows are told apart by a key of their own: of
+   rows that share a doc_id or have none, each is judged by its text, and of repeated rows one stays
+   (which one is of no account, except that a row with an id goes before one without). Documents too
+   short for one word stay.
 4. mixing: documents stay, go or are repeated so that sources come near their target weights.
 5. packing: pieces of at most 2048 tokens with their place in a sequence.
 
@@ -46,9 +49,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = ngram_join.linked(docs, n=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("id"))
-    return row.join(kept, row["id"] == kept["doc_id"], "left_semi").select("row.*")
+    # written, so that a row has the same key each time it is read
+    keyed = staged(_row_and_text(docs).withColumn("key", F.monotonically_increasing_id()), "keyed")
+    linked = ngram_join.linked(keyed.select(F.col("key").alias("doc_id"), "text"), n=5, percent=80).select(F.col("doc_id").alias("key"), "component_id")
+    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("key"))
+    first = linked.join(keyed.select("key", order.alias("order")), "key").groupBy("component_id").agg(F.min("order").alias("order"))
+    kept = first.select(F.col("order.key").alias("key"))
+    return keyed.hint("merge").join(kept, "key", "left_semi").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

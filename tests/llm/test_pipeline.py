@@ -45,6 +45,14 @@ def test_one_document_of_each_group_stays(stages):
     assert rows(stages[3]) == sorted(tuple(r) for r in before if r.doc_id in keep) and len(keep) < len(before)
 
 
+def test_one_row_of_each_group_stays_with_null_and_repeated_ids(spark):
+    same, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(None, "u " * 9 + "alone"), (None, same), (3, same), (3, same), (2, other), (2, other), (2, "one of a kind with the id of others"), (7, ""), (7, ""), (None, None), (None, "x y z null ids with equal texts"), (None, "x y z null ids with equal texts")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(repr, map(tuple, corpus_pipeline.near_duplicate_stage(spark, docs, SMALL).collect())))
+    assert got == sorted(map(repr, [rows[0], rows[2], rows[4], rows[6], rows[7], rows[8], rows[9], rows[10]]))
+
+
 def test_mixing_takes_what_the_operator_says(stages):
     times = {}
     for r in stages[4].collect():
