@@ -1,8 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each one operator of ``brontide.llm``.
 
 1. toxicity: documents that the segment model calls toxic go.
-2. language: documents without a recognisable language go (no letter at all, or no language that is
-   likelier than the others by any margin); every other document stays.
+2. language: documents without a recognisable language go (no letter at all, or no language that
+   is likelier than chance by 4 %, whatever the number of learned languages); every other document stays,
+   and one in a language that was not learned can stay too, since its score is seldom that near to chance.
 3. near duplicates: of each component of documents that share 0.8 or more of their five-word
    shingles, the one row with the smallest doc_id stays. Rows are told apart by a key of their own: of
    rows that share a doc_id or have none, each is judged by its text, and of repeated rows one stays
@@ -28,10 +29,15 @@ from brontide.sources.scratch import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A language is recognised if its probability is at least this; four languages at random have 0.25.
+#: A language is recognised if its probability is at least this with four languages, which at random have 0.25.
 LEAST_LANGUAGE = 0.26
 
 
+def least_language(languages: int) -> float:
+    """The same margin over chance (4 %) for any number of learned languages; a single one has nothing to be likelier than."""
+    return min(1.0, LEAST_LANGUAGE * 4 / max(1, languages))
+
+
 def _row_and_text(docs: DataFrame) -> DataFrame:
     """Each row whole as ``row``, with what the operators read beside it."""
     return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["text"].alias("text"))
@@ -45,7 +51,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
     found = language_id.identified(_row_and_text(docs), model, keep=("row",))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select("row.*")
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= least_language(len(model.languages)))).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,24 @@ def test_one_row_of_each_group_stays_with_null_and_repeated_ids(spark):
     assert got == sorted(map(repr, [rows[0], rows[2], rows[4], rows[6], rows[7], rows[8], rows[9], rows[10]]))
 
 
+@pytest.mark.parametrize("count", [2, 10])
+def test_language_threshold_follows_the_number_of_languages(spark, count):
+    letters = [chr(0x4E00 + 200 * k + i) for k in range(count) for i in range(40)]
+    text = lambda k, seed: "".join(letters[40 * k + (7 * seed + i * (1 + seed % 5)) % 40] for i in range(30))
+    known = [(20 * k + s, text(k, s), f"l{k}") for k in range(count) for s in range(20)]
+    mixed = (9100, "".join(text(k, 3) for k in range(count)), None)
+    docs = spark.createDataFrame([*known, mixed], "doc_id long, text string, lang string")
+    got = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, SMALL).collect()}
+    assert {i for i, *_ in known} <= got
+    model = language_id.fit(docs)
+    lang, score = model.predict(mixed[1])
+    assert (9100 in got) == (score >= 1.04 / count)
+
+
+def test_least_language():
+    assert [corpus_pipeline.least_language(k) for k in (0, 1, 2, 4)] == [1.0, 1.0, 0.52, 0.26] and abs(corpus_pipeline.least_language(10) - 0.104) < 1e-12
+
+
 def test_mixing_takes_what_the_operator_says(stages):
     times = {}
     for r in stages[4].collect():
