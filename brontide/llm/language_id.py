@@ -2,8 +2,8 @@
 
 Features are hashed character n-grams of the lower-cased text with TF-IDF weights, scaled to unit
 length. The weights are trained online by follow-the-regularised-leader with elastic-net penalties,
-which leaves most of them exactly zero; a temperature fitted on rows held back from training makes
-the scores probabilities. Training sees a bounded sample of whole texts; prediction reads every
+which leaves most of them exactly zero; a temperature fitted on rows held back from a first training makes
+the scores probabilities, then all rows train. Training sees a bounded sample of whole texts; prediction reads every
 whole text.
 """
 
@@ -149,6 +149,8 @@ def fit(docs: DataFrame, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02
         return float((np.log(np.exp(z - top).sum(1)) + top[:, 0] - z[np.arange(len(y)), y]).mean())
 
     temperature = min(np.geomspace(0.05, 20, 121), key=loss)
+    # then all rows train, so a language whose only rows were held back is learned too
+    weights, bias = _train(coded, len(languages), alpha, beta, l1, l2, rounds)
     return Model(languages, idf, weights, bias, float(temperature))
 
 
