@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import staged
-from .vocab import WordIds, kept
+from .vocab import WordIds, ended, kept, slices
 
 #: Rows of the plan: a length's ordinals from ``ordinal`` on go, ``each`` to a sequence, to ``sequence`` and those after it, at ``offset``.
 PLAN = ("length", "ordinal", "sequence", "each", "offset")
@@ -79,13 +79,15 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int, window: int, keep_i
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept(WordIds, vocab_path, False)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = [np.append(np.frombuffer(x, "<u2").astype("<u4"), np.uint32(end_id)) for x in words.ids(batch.column("text").to_pylist())]
-                crcs = [[zlib.crc32(x[a : a + window].tobytes()) for a in range(0, len(x), window)] for x in ids]
-                columns = [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(crcs, pa.list_(pa.int64()))]
+            for batch in slices(whole):
+                ids, n = ended(*words.flat(batch.column("text")), end_id)
+                ids, ends, pieces = ids.astype("<u4"), np.cumsum(n), -(-n // window)
+                data = memoryview(ids)
+                crcs = [zlib.crc32(data[a : min(a + window, end)]) for end, k in zip(ends.tolist(), n.tolist(), strict=True) for a in range(end - k, end, window)]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(pieces)).astype("int32")), pa.array(crcs, pa.int64()))
+                columns = [batch.column("doc_id"), pa.array(n), lists]
                 if keep_ids:
-                    columns.append(pa.array([x.astype("int32") for x in ids], pa.list_(pa.int32())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype("int32")), pa.array(ids.astype("int32"))))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_tokens", "crcs", "ids"][: len(columns)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -95,14 +97,14 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int, window: int, keep_i
 def pack(docs: DataFrame, vocab_path: str, window: int = 2048, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
-    A null or empty text is the end id alone. Equal rows are separate documents; ties between them
-    may be dealt either way, with equal results. Of other columns none is read. An empty table gives
-    no rows.
+    A null or empty text is the end id alone. Rows are told apart by a key of their own, so rows that
+    share a doc_id, or have none, are separate documents and are dealt like any others. Of other
+    columns none is read. An empty table gives no rows.
     """
     split = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
-    coded = staged(tokenized(docs, vocab_path, end_id, window, keep_ids), "tokens")
+    coded = staged(tokenized(docs, vocab_path, end_id, window, keep_ids).withColumn("row", F.monotonically_increasing_id()), "tokens")
     buckets = 64 + coded.count() // 20_000
-    rows = coded.withColumn("rest", (F.col("doc_tokens") % window).cast("int")).withColumn("bucket", split("doc_id"))
+    rows = coded.withColumn("rest", (F.col("doc_tokens") % window).cast("int")).withColumn("bucket", split("row"))
     rows = rows.withColumn("full", F.expr(f"doc_tokens div {window}"))
     groups = staged(rows.groupBy("rest", "bucket").agg(F.count("*").alias("n"), F.sum("full").alias("n_full")), "rests")
     totals = {r["rest"]: (r["n"], r["n_full"]) for r in groups.groupBy("rest").agg(F.sum("n").alias("n"), F.sum("n_full").alias("n_full")).collect()}
@@ -116,7 +118,7 @@ def pack(docs: DataFrame, vocab_path: str, window: int = 2048, end_id: int = 1,
 
     before = Window.partitionBy("rest").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = groups.select("rest", "bucket", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "n_full")))
-    inside = Window.partitionBy("rest", "bucket").orderBy("doc_id", "doc_tokens", "crcs")
+    inside = Window.partitionBy("rest", "bucket").orderBy("row")
     rows = rows.withColumn("nth", F.row_number().over(inside) - 1).withColumn("full_nth", F.sum("full").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))
     rows = rows.join(starts, ["rest", "bucket"]).select("doc_id", "doc_tokens", "crcs", "rest", (F.col("nth") + F.col("n_before")).cast("long").alias("nth"), (F.col("full_nth") + F.col("n_full_before")).cast("long").alias("full_nth"), *["ids"] * keep_ids)
 

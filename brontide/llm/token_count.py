@@ -8,15 +8,18 @@ count is the number of initial symbols less the number of merges.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import LONGEST, MEMORY, cut_at_spaces, kept
+from .vocab import LONGEST, MEMORY, cut_pieces, kept, slices
 
 #: Fixed value: how the byte-level tokenizer of the vocabulary file cuts a text before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -29,11 +32,11 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class MergeCounter(dict):
-    """self[word]: tokens of one cut word (with its leading space), remembered up to a bound."""
+class MergeCounter:
+    """Tokens of texts. Arrow numbers the different words of a batch, and the counts of all words met are kept."""
 
     def __init__(self, path: str):
-        super().__init__()
+        self.known, self.counts = pa.array([""], pa.string()), np.zeros(1, np.int64)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -78,51 +81,59 @@ class MergeCounter(dict):
                 heappush(heap, (hit[0], prior, hit[1]))
         return left
 
-    def __missing__(self, piece: str) -> int:
-        if len(self) > MEMORY:
-            self.clear()
-        n = self.plain(piece)
-        if len(piece) <= LONGEST:
-            self[piece] = n
-        return n
-
     def plain(self, text: str) -> int:
-        """Tokens of a text without special strings."""
+        """Tokens of a text without special strings, by the words that the tokenizer cuts."""
         return sum(self.merged(w.encode()) for w in self.cut.findall(text))
 
     def count(self, text: str | None) -> int:
-        pieces = cut_at_spaces(text or "", True)
-        if len(pieces) > 1:
-            return self[pieces[0]] + sum(map(self.__getitem__, map(" ".__add__, pieces[1:])))
-        if not pieces:
-            return 0
-        if self.cut_special is None or "<|" not in pieces[0]:
-            return self.words(pieces[0])
-        found = self.cut_special.findall(text)
-        return len(found) + sum(map(self.words, self.cut_special.split(text)))
-
-    def words(self, text: str) -> int:
-        """Tokens of a text without special strings, by the words that the tokenizer cuts."""
-        total = 0
-        for w in self.cut.findall(text):
-            n = self.get(w)
-            if n is None:
-                n = self.merged(w.encode())
-                if len(w) <= LONGEST:
-                    self[w] = n
-            total += n
-        return total
+        """Tokens of a whole text, remembering nothing but repeated words within it."""
+        text = text or ""
+        if self.cut_special is None or "<|" not in text:
+            return self._repeated(text)
+        return len(self.cut_special.findall(text)) + sum(map(self._repeated, self.cut_special.split(text)))
+
+    def _repeated(self, text: str) -> int:
+        return sum(n * self.merged(w.encode()) for w, n in Counter(self.cut.findall(text)).items())
+
+    def tokens(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text (null: 0)."""
+        if not len(texts):
+            return np.zeros(0, np.int64)
+        if len(self.counts) > MEMORY:
+            self.known, self.counts = self.known[:1], self.counts[:1]
+        pieces = cut_pieces(texts, True)
+        coded, at = pieces.flat.dictionary_encode(), pieces.starts
+        words = coded.dictionary
+        found = pc.index_in(words, value_set=self.known)
+        numbers, new = pc.fill_null(found, 0).to_numpy(), np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+        counts = self.counts[numbers]
+        if len(new):
+            fresh = words.take(pa.array(new))
+            counts[new] = [self.plain(" " + w) for w in fresh.to_pylist()]
+            short = pc.less_equal(pc.binary_length(fresh), LONGEST)
+            self.known = pa.concat_arrays([self.known, fresh.filter(short)])
+            self.counts = np.concatenate((self.counts, counts[new][short.to_numpy(zero_copy_only=False)]))
+        each = counts[coded.indices.to_numpy(zero_copy_only=False)]
+        heads = pieces.flat.take(pa.array(at)).dictionary_encode()  # a text's first word has no space before it
+        each[at] = np.array([self.plain(w) for w in heads.dictionary.to_pylist()], np.int64)[heads.indices.to_numpy(zero_copy_only=False)]
+        each[at[pieces.whole]] = [self.count(texts[i].as_py()) for i in pieces.whole.tolist()]
+        return np.add.reduceat(each, at)
 
 
 def token_table(docs: DataFrame, vocab_path: str, limit: int = 1024) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``; other columns are not read."""
+    """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``.
+
+    A null or empty text has 0 of each; equal rows get equal counts; an empty table gives no rows.
+    doc_id keeps its type and may be null; other columns are not read.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = kept(MergeCounter, vocab_path)
-        for batch in batches:
-            tokens = pa.array([counter.count(t) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), tokens], ["doc_id", "n_bytes", "n_tokens"])
+        for whole in batches:
+            for batch in slices(whole):
+                tokens = pa.array(counter.tokens(batch.column("text")))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), tokens], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select("doc_id", F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("n_bytes"), "text")
-    out = rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long")
+    out = rows.mapInArrow(counted, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long")
     return out.select("*", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vocab import WordIds, kept
+from .vocab import WordIds, ended, kept, slices
 
 #: Parquet settings by coding; row groups of 16 MB and pages of at most 256 documents.
 LAYOUT = {"parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "256", "compression": "zstd"}
@@ -36,13 +36,11 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, end_id: int =
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard, start = kept(WordIds, vocab_path, True), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                coded = [np.append(np.frombuffer(x, "<u2"), np.uint16(end_id)) for x in words.ids(batch.column("text").to_pylist())]
-                n = np.array([len(x) for x in coded], np.int64)
+            for batch in slices(whole):
+                ids, n = ended(*words.flat(batch.column("text")), end_id)
                 ends = np.cumsum(n)
-                ids = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype("int32")), pa.array(np.concatenate(coded).astype("int32")))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(n), shard, np.int32)), pa.array(start + ends - n), pa.array(n), ids], ["doc_id", "shard", "shard_start", "n_tokens", "ids"])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype("int32")), pa.array(ids.astype("int32")))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(n), shard, np.int32)), pa.array(start + ends - n), pa.array(n), lists], ["doc_id", "shard", "shard_start", "n_tokens", "ids"])
                 start += int(ends[-1])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
