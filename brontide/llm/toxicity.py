@@ -25,8 +25,8 @@ from .vocab import forget
 
 #: Lengths of word beginnings that are forms of their own.
 BEGINNINGS = (6, 5, 4, 3)
-#: Bounds: training documents of a class, forms of the model, and what a worker holds: words with scores, counted forms.
-PER_CLASS, FORMS, MEMORY, COUNTED = 3_000, 20_000, 200_000, 60_000
+#: Bounds: training documents of a class, and what a worker holds: words with scores, counted forms.
+PER_CLASS, MEMORY, COUNTED = 3_000, 200_000, 60_000
 STRIP = "\"'.,;:!?()[]{}<>*_~`#%&$@^+=|/\\-–—«»“”„…¿¡"
 
 
@@ -72,32 +72,39 @@ class Model:
 
 
 def maximal_segments(scores: list[tuple[int, float]], cost: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, last, score) of a sequence in one pass.
+    """All maximal-scoring segments (first, last, score) of a sequence, in linear time.
 
     ``scores`` has (position, score > 0 or < 0) in order; every position between costs ``cost``.
-    Kept candidates are those that may still be joined to what follows; each is looked at a constant
-    number of times on average.
+    A candidate knows the last one before it that begins at a smaller sum, so looking for the one to
+    join skips those that later candidates have skipped already; where there is none, nothing that
+    follows can reach the candidates any more and they are final.
     """
-    kept: list[list] = []  # first, last, sum before, sum through
+    final: list[tuple[int, int, float]] = []
+    first, last, before, through, back = [], [], [], [], []  # of each candidate; back: the index of the one described above
     total, at = 0.0, 0
     for position, score in scores:
         total -= cost * (position - at)
         at = position + 1
+        low, total = total, total + score
         if score <= 0:
-            total += score
             continue
-        new = [position, position, total, total + score]
-        total += score
-        while kept:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
-            del kept[j:]
-        kept.append(new)
-    return [(a, b, through - before) for a, b, before, through in kept]
+        begin, j = position, len(first) - 1
+        while j >= 0 and before[j] >= low:
+            j = back[j]
+        while j >= 0 and through[j] < total:  # join it, and look on from where it looked
+            begin, low, k = first[j], before[j], back[j]
+            del first[j:], last[j:], before[j:], through[j:], back[j:]
+            j = k
+        if j < 0:
+            final += zip(first, last, map(float.__sub__, through, before), strict=True)
+            first, last, before, through, back = [], [], [], [], []
+        first.append(begin)
+        last.append(position)
+        before.append(low)
+        through.append(total)
+        back.append(j)
+    final += zip(first, last, map(float.__sub__, through, before), strict=True)
+    return final
 
 
 def text_segments(text: str | None, scores: Scores, cost: float) -> tuple[list[tuple[int, int, float]], int]:
@@ -136,34 +143,47 @@ PARTS = 5
 COUNTS = tuple(f"{toxic}{part}" for part in range(PARTS) for toxic in "ct")
 
 
-def _log_odds(counts: DataFrame, toxic: Column, clean: Column, weight: float, margin: float, strength: float) -> dict[str, float]:
-    """Score of each form with clear and strong evidence for toxic documents, the clearest FORMS of them at most.
+def _log_odds(counts: DataFrame, sums: list[tuple[Column, Column]], weight: float, margin: float, strength: float) -> list[dict[str, float]]:
+    """For each (toxic, clean) of ``sums`` the score of each form with clear and strong evidence for toxic documents.
 
     Odds are among all forms of a class's documents, so that longer documents don't make every form
     more frequent. The prior of a form is its share in both classes, worth ``weight`` times as much. The
     likelihood ratio of a form against chance must exceed the number of forms by e ** ``margin``; it must reach ``strength`` times the log-odds of one that clean documents never have, and a
-    beginning goes if one longer form accounts for most of its toxic documents.
+    beginning goes if one longer form accounts for most of its toxic documents. All sums share two
+    passes over the counts; only forms that pass come to the driver, as many as a bounded sample has.
     """
-    tried = toxic + clean >= 3
-    n_t, n_c, forms_ = counts.agg(F.coalesce(F.sum(toxic), F.lit(0)), F.coalesce(F.sum(clean), F.lit(0)), F.count_if(tried)).first()
-    if not n_t or not n_c:
-        return {}
-    prior = weight * (n_t + n_c)
-    share = (toxic + clean) * weight
-    logit = lambda y, m: F.log((y + share) / (F.greatest(F.lit(float(m)) - y, F.lit(0.0)) + F.greatest(F.lit(prior) - share, F.lit(0.5))))
-    delta = logit(toxic, n_t) - logit(clean, n_c)
-    gain = lambda y, m: F.when(y > 0, y * F.log(y * (n_t + n_c) / (m * (toxic + clean)))).otherwise(0.0)
-    ratio = gain(toxic, n_t) + gain(clean, n_c)
-    least = strength * math.log((1 + weight) / weight * n_c / n_t)
-    rows = counts.where(tried).select("form", delta.alias("d"), ratio.alias("z"), toxic.alias("t")).where((F.col("z") >= math.log(max(forms_, 1)) + margin) & (F.col("d") >= least))
-    found = {r["form"]: r for r in rows.orderBy(F.desc("z"), "form").limit(FORMS).collect()}
+    aggs = [x for t, c in sums for x in (F.coalesce(F.sum(t), F.lit(0)), F.coalesce(F.sum(c), F.lit(0)), F.count_if(t + c >= 3))]
+    totals = counts.agg(*(x.alias(f"a{i}") for i, x in enumerate(aggs))).first()
+    wanted = []
+    for k, (toxic, clean) in enumerate(sums):
+        n_t, n_c, forms_ = totals[3 * k : 3 * k + 3]
+        if not n_t or not n_c:
+            continue
+        prior, share = weight * (n_t + n_c), (toxic + clean) * weight
+        logit = lambda y, m, prior=prior, share=share: F.log((y + share) / (F.greatest(F.lit(float(m)) - y, F.lit(0.0)) + F.greatest(F.lit(prior) - share, F.lit(0.5))))
+        gain = lambda y, m, n=n_t + n_c, both=toxic + clean: F.when(y > 0, y * F.log(y * n / (m * both))).otherwise(0.0)
+        delta, ratio = logit(toxic, n_t) - logit(clean, n_c), gain(toxic, n_t) + gain(clean, n_c)
+        least = strength * math.log((1 + weight) / weight * n_c / n_t)
+        passes = (toxic + clean >= 3) & (ratio >= math.log(max(forms_, 1)) + margin) & (delta >= least)
+        wanted.append(F.when(passes, F.struct(F.lit(k).alias("k"), delta.alias("d"), toxic.alias("t"))))
+    found: list[dict[str, tuple[float, int]]] = [{} for _ in sums]
+    if wanted:
+        rows = counts.select("form", F.array_compact(F.array(*wanted)).alias("odds")).where(F.size("odds") > 0)
+        for form, odds in rows.collect():
+            for k, d, t in odds:
+                found[k][form] = (d, t)
+    return [_own_evidence(x) for x in found]
+
+
+def _own_evidence(found: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """The log-odds of forms (log-odds, toxic documents), without beginnings that one longer form accounts for."""
     most: dict[str, int] = {}  # toxic documents of the best longer form of each beginning
-    for form, r in found.items():
+    for form, (_, t) in found.items():
         word = form.removesuffix("*")
         for n in BEGINNINGS:
             if n < len(word):
-                most[word[:n] + "*"] = max(most.get(word[:n] + "*", 0), r["t"])
-    return {form: r["d"] for form, r in found.items() if most.get(form, 0) < 0.7 * r["t"]}
+                most[word[:n] + "*"] = max(most.get(word[:n] + "*", 0), t)
+    return {form: d for form, (d, t) in sorted(found.items()) if most.get(form, 0) < 0.7 * t}
 
 
 def _decay(positive: list[float], tokens: int, cost: float) -> float:
@@ -196,8 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float = 0.05, margin: float =
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int"))
     counts = staged(_counts(rows), "forms")
     total = lambda toxic, without=None: sum((F.col(f"{toxic}{k}") for k in range(PARTS) if k != without), F.lit(0))
-    odds = lambda without=None: _log_odds(counts, total("t", without), total("c", without), prior, margin, strength)
-    other, model = [odds(k) for k in range(PARTS)], Model(odds(), cost)
+    *other, by_form = _log_odds(counts, [(total("t", k), total("c", k)) for k in (*range(PARTS), None)], prior, margin, strength)
+    model = Model(by_form, cost)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
