@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import staged
@@ -90,8 +90,14 @@ def tables_for(d: int, least: float, hashes: int) -> int:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """Different vectors of a label: key, label, v, times, first (smallest id)."""
-    return rows.groupBy("label", "v").agg(F.count("*").alias("times"), F.min("id").alias("first"))
+    """Different vectors of a label: label, v, times, first (smallest id), d, and a key of its own once written."""
+    out = rows.groupBy("label", "v").agg(F.count("*").alias("times"), F.min("id").alias("first"))
+    return out.withColumns({"d": F.size("v"), "key": F.monotonically_increasing_id()})
+
+
+def _digest() -> tuple[Column, Column]:
+    """128 bits that stand for a label and a vector, so that rows find their class without shuffling vectors again."""
+    return F.xxhash64("label", "v").alias("h1"), F.xxhash64(F.lit(7), "v", "label").alias("h2")
 
 
 def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
@@ -104,11 +110,11 @@ def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
                 x = x / np.abs(x).max(1, keepdims=True)
                 own, probe = polytope_codes(x / np.sqrt((x * x).sum(1, keepdims=True)), tables, hashes)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, c.size + 1, tables, dtype="int32")), pa.array(c.ravel())) for c in (own, probe)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("label", "d", "v", "times", "first")), *lists], ["label", "d", "v", "times", "first", "own", "probe"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("label", "d", "v", "times", "key")), *lists], ["label", "d", "v", "times", "key", "own", "probe"])
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
-    schema = f"label {kinds['label']}, d int, v {kinds['v']}, times long, first long, own array<long>, probe array<long>"
-    return classes.select("label", "d", "v", "times", "first").mapInArrow(told, schema)
+    schema = f"label {kinds['label']}, d int, v {kinds['v']}, times long, key long, own array<long>, probe array<long>"
+    return classes.select("label", "d", "v", "times", "key").mapInArrow(told, schema)
 
 
 def _verified(least: float):
@@ -119,7 +125,7 @@ def _verified(least: float):
         table = table.sort_by([(c, "ascending") for c in ("label", "table", "code")])
         label, t, code = (table.column(c).to_numpy() for c in ("label", "table", "code"))
         cut = np.flatnonzero((label[1:] != label[:-1]) | (t[1:] != t[:-1]) | (code[1:] != code[:-1])) + 1
-        columns = {c: table.column(c).to_numpy() for c in ("first", "times", "own_block", "home")} | {c: matrix(table.column(c), k) for c, k in (("own", "i8"), ("probe", "i8"), ("v", "f8"))}
+        columns = {c: table.column(c).to_numpy() for c in ("key", "times", "own_block", "home")} | {c: matrix(table.column(c), k) for c, k in (("own", "i8"), ("probe", "i8"), ("v", "f8"))}
         x = columns.pop("v")
         x = x / np.abs(x).max(1, keepdims=True)
         columns["x"] = x / np.sqrt((x * x).sum(1, keepdims=True))
@@ -131,8 +137,8 @@ def _verified(least: float):
         a, b, n = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    def bucket(t: int, code: int, same: bool, first, times, own_block, home, own, probe, x) -> list[tuple]:
-        ids, block = first, own_block
+    def bucket(t: int, code: int, same: bool, key, times, own_block, home, own, probe, x) -> list[tuple]:
+        ids, block = key, own_block
         count, of, links = np.zeros(len(ids), np.int64), list(range(len(ids))), []
 
         def root(i: int) -> int:
@@ -152,7 +158,7 @@ def _verified(least: float):
                 p, q, a, b = own[i, e], own[j, e], probe[i, e], probe[j, e]
                 keep = (p != q) & (p != b) & (a != q)
                 i, j = i[keep], j[keep]
-            # of up to two buckets of the table: the common one of their own, else that of the smaller id if the other probes it
+            # of up to two buckets of the table: the common one of their own, else that of the smaller key if the other probes it
             a, b = own[i, t], own[j, t]
             keep = code == np.where((a == b) | (a == probe[j, t]), a, b)
             i, j = i[keep], j[keep]
@@ -179,32 +185,36 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int | None
 
     Rows link when their labels are equal and not null and their cosine is at least ``least``. Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors
-    of different length. Equal vectors of a label are compared once and counted as often as they stand;
-    rows with one vec_id are separate rows of that id. ``hashes`` in a row name a bucket; by default so
-    many that a bucket of unrelated vectors of the largest label stays small. ``tables`` follows from the
-    hashes by default, so that the links found don't depend on how large the table or another label is.
+    of different length. Equal vectors of a label are compared once and counted as often as they stand.
+    Rows are told apart by label and vector, not by vec_id: rows that share one, or have none, are
+    linked and counted like any others (each other too), and component_id is the smallest vec_id that is
+    not null among the rows reached, null if all are. An empty table gives no rows; other columns are not read.
+    ``hashes`` in a row name a bucket; by default so many that a bucket of unrelated vectors of the
+    largest label stays small. ``tables`` follows from the hashes by default, so that the links found
+    don't depend on how large the table or another label is.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), "label", F.col("embedding").alias("v"))
-    good = usable(F.col("v")) & F.exists("v", lambda x: x != 0) & F.col("label").isNotNull() & F.col("id").isNotNull()
-    classes = staged(_classes(rows.where(good)).withColumn("d", F.size("v")), "classes")
+    good = usable(F.col("v")) & F.exists("v", lambda x: x != 0) & F.col("label").isNotNull()
+    classes = staged(_classes(rows.where(good)), "classes")
     most, d = classes.groupBy("label").agg(F.count("*").alias("n"), F.max("d").alias("d")).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("d"), F.lit(1))).first()
     if hashes is None:
         hashes = 1
-        while 128**hashes < most / 4 and hashes < 4:
+        signed = 2 << max(1, (d - 1).bit_length())  # different values of a hash
+        while signed**hashes < most / 4 and hashes < 4:
             hashes += 1
     if tables is None:
         tables = tables_for(d, least, hashes)
     coded = staged(_coded(classes, tables, hashes), "codes")
     each = F.transform("own", lambda c, t: F.struct(t.alias("table"), c.alias("code"), F.lit(True).alias("home")))
     also = F.transform("probe", lambda c, t: F.struct(t.alias("table"), c.alias("code"), F.lit(False).alias("home")))
-    entries = coded.select("label", "d", "first", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "first", "e.*")
+    entries = coded.select("label", "d", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "e.*")
     bucket = ["label", "d", "table", "code"]
     sizes = entries.groupBy(*bucket).agg(F.count("*").alias("n"), F.max("home").alias("any")).where("n > 1 and any")
     sizes = sizes.select(*bucket, "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     sizes = staged(sizes, "buckets")
     entries_n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    entries = coded.select("label", "d", "first", "times", "v", "own", "probe", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "first", "times", "v", "own", "probe", "e.*")
-    entries = entries.join(sizes.drop("n"), bucket).withColumn("own_block", F.pmod(F.xxhash64("first"), F.col("blocks")).cast("int"))
+    entries = coded.select("label", "d", "key", "times", "v", "own", "probe", F.explode(F.concat(each, also)).alias("e")).select("label", "d", "key", "times", "v", "own", "probe", "e.*")
+    entries = entries.join(sizes.drop("n"), bucket).withColumn("own_block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     entries = entries.withColumn("o", other).withColumns({"left": F.least("own_block", "o"), "right": F.greatest("own_block", "o")}).drop("o")
     # small buckets are dealt out many to a group, since a group costs more than they do
@@ -214,10 +224,13 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int | None
     found = staged(entries.groupBy("d", "large", "lot", "left", "right").applyInArrow(_verified(least), "a long, b long, n long"), "found")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     joined = components(found.where("b is not null").select("a", "b"))
-    heads = classes.select("label", "v", "first", "times").join(counts, F.col("first") == F.col("a"), "left").join(joined, F.col("first") == F.col("node"), "left")
-    heads = heads.select(F.col("label").alias("l"), F.col("v").alias("w"), (F.col("times") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "first").alias("head"))
-    out = rows.join(heads, (rows["label"] == heads["l"]) & (rows["v"] == heads["w"]) & good, "left")
-    return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("head", "id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    heads = classes.select("key", *_digest(), "first", "times").join(counts, F.col("key") == F.col("a"), "left").join(joined, F.col("key") == F.col("node"), "left")
+    heads = staged(heads.select("h1", "h2", "first", (F.col("times") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "key").alias("component")), "heads")
+    least = heads.groupBy("component").agg(F.min("first").alias("head"))
+    heads = heads.join(least, "component").select("h1", "h2", "n_links", "head")
+    slim = rows.select("id", *(F.when(good, h).alias(n) for h, n in zip(_digest(), ("h1", "h2"), strict=True)), good.alias("good"))
+    out = slim.join(heads, ["h1", "h2"], "left")
+    return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("good"), F.col("head")).otherwise(F.col("id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 ORACLE = """
