@@ -22,13 +22,13 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def place(doc_id: Column) -> Column:
-    """60 bits that depend on the id alone: the leading 15 hexadecimal digits of its MD5."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+def place(doc_id: Column, text: Column) -> Column:
+    """60 bits that depend on the id alone (without one, on the text): the leading 15 hexadecimal digits of its MD5."""
+    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), text, F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
-    """source, source_size, target for rows (source, source_size): one row per source.
+    """source, source_size, target for rows (source, source_size): one row per source, all in one task (sources are few).
 
     Sources in code-point order, null last, weigh ``weights`` in turn and share all words; a target
     stops at ``most`` times its source, and what is above goes to the others by weight. That is
@@ -78,7 +78,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0) -> tuple[DataFrame, DataFrame]:
     """(rows, thresholds): doc_id, source, size, place of each document, and the table of ``thresholds``."""
-    rows = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")), "sizes")
+    rows = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), place(F.col("doc_id"), F.col("text")).alias("place")), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     return rows, thresholds(rows, source_targets(sizes, weights, most))
 
@@ -87,7 +87,7 @@ def taken_words(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     """doc_id, size, source_size, target, taken for each row of ``docs``.
 
     A null or empty text has size 0; null is a source of its own, last in order. Rows with the same
-    doc_id have the same place, so they are taken together. Reruns agree: nothing depends on order or
+    doc_id have the same place, so they are taken together; rows without one go by their text. Reruns agree: nothing depends on order or
     partitions. Other columns are not read; an empty table gives no rows.
     """
     rows, limits = mixture(docs, weights, most)
@@ -102,14 +102,14 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     limits = limits.select(F.struct("source", "copies", "below").alias("limit"))
     joined = row.join(limits, F.col("row.source").eqNullSafe(F.col("limit.source")))
-    times = F.col("limit.copies") + (place(F.col("row.doc_id")) <= F.col("limit.below")).cast("long")
+    times = F.col("limit.copies") + (place(F.col("row.doc_id"), F.col("row.text")) <= F.col("limit.below")).cast("long")
     return joined.where(times > 0).select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select("row.*")
 
 
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT AS place
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 1.0::DOUBLE + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s),
