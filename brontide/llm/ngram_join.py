@@ -5,8 +5,10 @@ most r elements, r following from the sizes. Cutting the universe of n-grams int
 hash leaves at least one part on which such a pair agrees entirely: the contents of a part are the
 pivots of its regions, at distance zero. Where the threshold leaves parts too small to tell texts
 apart, the regions are those of the rarest n-grams of each set instead. Documents that share a region
-are candidates; their connected groups are joined exactly in the Jaccard metric by pivots, Voronoi
-cells widened by the triangle inequality, and recursion into the cells.
+are candidates; their connected groups are joined exactly in the Jaccard metric. Large groups are cut
+round by round: pivots make Voronoi regions, windows that follow from the triangle inequality copy
+boundary documents into each region they may have a partner in, and regions are cut again. What is
+small enough is joined in one task, its members in turn being the pivots.
 """
 
 from __future__ import annotations
@@ -15,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import drop_staged, release, staged
+from ..sources.scratch import drop_staged, staged
 from .components import components
 from .vocab import forget
 
@@ -190,8 +192,8 @@ class Region:
     def elements(self, i: int) -> np.ndarray:
         return self.code[self.ends[i] - self.n[i] : self.ends[i]]
 
-    def distances(self, pivot: int, members: np.ndarray) -> np.ndarray:
-        """Jaccard distances of ``members`` to a pivot; those near enough are linked to it."""
+    def meet(self, pivot: int, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Jaccard distances of ``members`` to a pivot, and which of them are similar enough to it."""
         own = self.elements(pivot)
         self.mark[own] = 1
         lengths = self.n[members]
@@ -200,44 +202,46 @@ class Region:
         common = np.add.reduceat(self.mark[self.code[flat]], starts)
         self.mark[own] = 0
         union = lengths + len(own) - common
-        for j in members[100 * common >= self.percent * union].tolist():
-            a, b = self.root(pivot), self.root(j)
-            if a != b:
-                self.of[max(a, b)] = min(a, b)
-                self.links.append((pivot, j))
-        return 1 - common / union
-
-    def join(self, members: np.ndarray) -> None:
-        """Link all similar pairs of ``members``."""
-        if len(members) < 2:
-            return
-        if len(members) > 64:
-            step = max(1, len(members) // 8)
-            pivots = members[::step][:8]
-            far = np.stack([self.distances(int(p), members) for p in pivots])
-            if len({self.root(i) for i in members.tolist()}) == 1:
-                return
-            near = far.argmin(0)
-            # a similar pair of which one lies in a cell: the other is at most 2 theta farther from the cell's pivot than from its own
-            within = far <= far.min(0) + 2 * self.theta + 1e-9
-            if within.sum() < 2 * len(members) and within.sum(1).max() < 0.75 * len(members):
-                for k in range(len(pivots)):
-                    if (near == k).any():
-                        self.join(members[within[k]])
-                return
-        self.scan(members)
+        return 1 - common / union, 100 * common >= self.percent * union
 
-    def scan(self, members: np.ndarray) -> None:
-        """Every member in turn is the pivot; earlier pivots' distances exclude what the triangle inequality can."""
+    def distances(self, pivot: int, members: np.ndarray) -> np.ndarray:
+        """Jaccard distances of ``members`` to a pivot; those near enough are linked to it."""
+        far, similar = self.meet(pivot, members)
+        for j in members[similar].tolist():
+            self.link(pivot, j)
+        return far
+
+    def link(self, i: int, j: int) -> None:
+        a, b = self.root(i), self.root(j)
+        if a != b:
+            self.of[max(a, b)] = min(a, b)
+            self.links.append((i, j))
+
+    def windows(self, pivots: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each pivot (row) and member: whether it belongs to the pivot's widened Voronoi cell, and whether it is similar to the pivot.
+
+        Of a similar pair one lies in the cell of its nearest pivot; the other is at most theta farther from
+        that pivot, and so at most 2 theta farther than from its own nearest one.
+        """
+        far, similar = map(np.stack, zip(*(self.meet(int(p), members) for p in pivots), strict=True))
+        return far <= far.min(0) + 2 * self.theta + 1e-9, similar
+
+    def scan(self, members: np.ndarray, pivots: np.ndarray | None = None) -> None:
+        """Link all similar pairs of ``members`` of which one is among ``pivots`` (by default all).
+
+        Each in turn is the pivot; earlier pivots' distances exclude what the triangle inequality can.
+        """
         kept: list[np.ndarray] = []
         roots = np.array([self.root(i) for i in members.tolist()])
-        for k, pivot in enumerate(members.tolist()):
-            open_ = roots != roots[k]
-            open_[: k + 1] = False  # earlier pivots have met this one
+        met = np.zeros(len(members), bool)
+        for k in range(len(members)) if pivots is None else np.flatnonzero(np.isin(members, pivots)).tolist():
+            met[k] = True
+            open_ = (roots != roots[k]) & ~met  # earlier pivots have met this one
             for far in kept:
                 open_ &= np.abs(far - far[k]) <= self.theta + 1e-9
             if not open_.any():
                 continue
+            pivot = int(members[k])
             if len(kept) < 12:
                 kept.append(self.distances(pivot, members))
             else:
@@ -253,7 +257,7 @@ def in_third(s: np.ndarray) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, n: int, of) -> DataFrame:
-    """doc_id, n_shingles, key (hash of the whole set, null if it is empty), regions: of(sets), for a key's first row in a task."""
+    """doc_id, ident, n_shingles, key (hash of the whole set, null if it is empty), regions: of(sets), for a key's first row in a task."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -273,10 +277,10 @@ def _profiles(docs: DataFrame, n: int, of) -> DataFrame:
                 regions = of(fresh)
                 ends = np.cumsum([0, *map(len, regions)]).astype("int32")
                 flat = np.concatenate(regions).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "key", "regions"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ident"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "ident", "n_shingles", "key", "regions"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(told, f"doc_id {kind}, n_shingles long, key long, regions array<long>")
+    return docs.select("doc_id", "ident", "text").mapInArrow(told, f"doc_id {kind}, ident long, n_shingles long, key long, regions array<long>")
 
 
 def _stars(entries: DataFrame) -> DataFrame:
@@ -355,18 +359,164 @@ def _rarest(elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return shared.join(room, "key").withColumn("rank", rank).where(F.col("rank") <= F.col("room")).select("region", "key")
 
 
-def _joined(members: DataFrame, n: int, percent: int) -> DataFrame:
-    """a, b: links between the members (group, block, text) of each group that connect what is similar."""
+#: A group with more open members than this is cut into Voronoi regions, around about so many pivots; regions that hold this share of their group or more don't count as cut.
+LARGE, PIVOTS, SHRINKS, ROUNDS = 256, 12, 0.75, 12
+CUT = {"group": pa.int64(), "pivot": pa.int64(), "key": pa.int64(), "inside": pa.bool_(), "similar": pa.bool_()}
+
+
+def _schema(fields: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"`{c}` {'boolean' if t == pa.bool_() else 'long'}" for c, t in fields.items())
+
+
+def _blocks(weight: Column, size: int) -> Column:
+    """How many blocks of about ``size`` n-grams."""
+    return F.ceil(weight / size).cast("int")
+
+
+def _block(key: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.greatest(blocks, F.lit(1))).cast("int")
+
+
+def _cut(big: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
+    """CUT: which members of each group are in which pivot's widened Voronoi cell (``inside``), and similar to it.
+
+    ``big`` has (group, key, text, rest, open, w), open and w being open members and n-grams of the group. The pivots are
+    about a dozen open members chosen by hash; members are dealt in blocks, and the group's pivots go to each.
+    """
+    big = big.withColumn("blocks", F.greatest(_blocks(F.col("w"), BLOCK), F.lit(1)))
+    lucky = F.col("rest") & (F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 30)) < F.lit(float(PIVOTS << 30)) / F.col("open"))
+    pivots = staged(big.where(lucky).select("group", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")), "pivots")
+    members = big.select("group", _block(F.col("key"), F.col("blocks")).alias("block"), "text")
+
+    def told(left: pa.Table, right: pa.Table) -> pa.Table:
+        forget()
+        hasher = Hasher(n)
+        own, about = hasher.sets(left.column("text").to_pylist()), hasher.sets(right.column("text").to_pylist())
+        k = len(about)
+        if not own or not k:
+            return pa.table({c: pa.array([], t) for c, t in CUT.items()})
+        region = Region(about + own, percent)
+        inside, similar = region.windows(np.arange(k), k + np.arange(len(own)))
+        p, m = np.nonzero(inside | similar)
+        keys, heads = np.array([key_of(x) for x in own]), np.array([key_of(x) for x in about])
+        columns = {"group": np.full(len(p), left.column("group")[0].as_py()), "pivot": heads[p], "key": keys[m], "inside": inside[p, m], "similar": similar[p, m]}
+        return pa.table({c: pa.array(columns[c], t) for c, t in CUT.items()})
+
+    return members.groupBy("group", "block").cogroup(pivots.groupBy("group", "block")).applyInArrow(told, _schema(CUT))
+
+
+def _labels(cut: DataFrame, core: DataFrame) -> DataFrame:
+    """group, pivot, label: pivots that similar members connect have one label; 0 is that of the pivots connected with the group's core.
+
+    Pivots are joined by the members they share: of each member only the steps from one of its pivots to the next, at
+    most a few hundred different ones a group.
+    """
+    near = cut.where("similar").join(core, ["group", "key"], "left").groupBy("group", "key").agg(F.array_sort(F.collect_set("pivot")).alias("p"), F.max("core").alias("core"))
+    first = F.when(F.col("core"), F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>"))
+    chain = F.concat(first, "p")
+    steps = F.transform(F.sequence(F.lit(0), F.size(chain) - 1), lambda i: F.struct(F.get(chain, F.greatest(i - 1, F.lit(0))).alias("a"), F.get(chain, i).alias("b")))
+    steps = near.select("group", F.explode(steps).alias("s")).select("group", "s.a", "s.b").distinct()
+
+    def told(table: pa.Table) -> pa.Table:
+        of = {x: x for c in ("a", "b") for x in table.column(c).to_pylist()}
+
+        def root(x):
+            while of[x] != x:
+                x = of[x]
+            return x
+
+        for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                of[b if a is None else a] = a if a is None else b
+        pivots = [x for x in of if x is not None]
+        group = table.column("group")[0].as_py()
+        return pa.table({"group": pa.array([group] * len(pivots), pa.int64()), "pivot": pa.array(pivots, pa.int64()), "label": pa.array([0 if root(x) is None else root(x) for x in pivots], pa.int64())})
+
+    return steps.groupBy("group").applyInArrow(told, "`group` long, pivot long, label long")
+
+
+def _with_texts(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members with their text: merged, not broadcast, at every size, since what is a member grows with the input."""
+    return texts.hint("merge").join(members, "ident")
+
+
+def _few(rows: DataFrame, few: int = 20_000) -> DataFrame:
+    """``rows`` to be broadcast if they are few, else as they are."""
+    return F.broadcast(rows) if rows.limit(few + 1).count() <= few else rows
+
+
+def _regions(members: DataFrame, texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(tasks, links): pairs (a, b) linked on the way, and rows (group, block, ident, rest) of what remains to be joined.
+
+    A group's members are open (``rest``) or in its core, whose members are connected already, so pairs within the
+    core need no comparison. A group with many open members is cut into Voronoi regions round by round. A
+    region's core are the members that pivots connect with its own. Where regions would not be much smaller than the
+    group, as among near copies, it stays whole and its core grows by what pivots connect with it. Groups
+    with few open members are joined in blocks, of which each meets each block of the rest.
+    """
+    links, tasks = members.sparkSession.createDataFrame([], "a long, b long"), None
+    now = staged(members.select("group", "key", "ident", "n", F.lit(True).alias("rest"), F.lit(True).alias("cut")), "members")
+    for seed in range(ROUNDS):
+        sizes = now.groupBy("group").agg(F.count("*").alias("m"), F.count_if("rest").alias("open"), F.sum("n").alias("w"), F.coalesce(F.sum(F.when(F.col("rest"), F.col("n"))), F.lit(0)).alias("r"))
+        # only groups that are more than one task matter, and they are few: each has many members or many n-grams
+        sizes = staged(sizes.where((F.col("open") > LARGE) | (F.col("w") > BLOCK // 5)), "sizes")
+        sized = now.join(_few(sizes), "group", "left")
+        large = F.col("cut") & F.coalesce(F.col("open") > LARGE, F.lit(False))
+        part = sized.where(~large).select("group", "key", "ident", "rest", "w", "r")
+        tasks = part if tasks is None else tasks.unionByName(part)
+        big = staged(sized.where(large).select("group", "key", "ident", "n", "rest", "open", "m", "w"), "large")
+        if big.isEmpty():
+            break
+        cut = staged(_cut(staged(_with_texts(big.select("group", "key", "ident", "rest", "open", "w"), texts), "texts"), n, percent, seed), "cells")
+        links = links.union(cut.where("similar").select("key", "pivot"))
+        labels = staged(_labels(cut, big.where("not rest").select("group", "key", F.lit(True).alias("core"))), "labels")
+        # all pivots similar to a member have one label, so any of them tells it
+        own = cut.where("similar").join(_few(labels), ["group", "pivot"]).groupBy("group", "key").agg(F.min("label").alias("label"))
+        big = staged(big.join(own, ["group", "key"], "left").withColumn("label", F.when(F.col("rest"), F.col("label")).otherwise(F.lit(0))), "labelled")
+        cells = cut.where("inside").groupBy("group", "pivot").agg(F.count("*").alias("c"))
+        whole = cells.join(sizes, "group").groupBy("group").agg(F.max(F.col("c") >= SHRINKS * F.col("m")).alias("whole"))
+        most = big.where("label is not null").groupBy("group", "label").agg(F.count("*").alias("c")).groupBy("group").agg(F.min_by("label", F.struct(F.col("label") != 0, -F.col("c"), "label")).alias("hub"))
+        fate = staged(sizes.select("group").join(whole, "group", "left").join(most, "group", "left"), "fate")
+        more = F.lit(seed + 2 < ROUNDS)
+        facts = big.join(_few(fate), "group")
+        stays = F.coalesce("whole", F.lit(True))  # also a group for which no pivot was drawn
+        still = facts.where(stays).select("group", "key", "ident", "n", (F.col("rest") & ~F.coalesce(F.col("label") == F.col("hub"), F.lit(False))).alias("rest"), more.alias("cut"))
+        split = facts.where(~stays).select("group", "key", "ident", "n", "label")
+        inside = cut.where("inside").select("group", "pivot", "key").join(split, ["group", "key"]).join(_few(labels).withColumnRenamed("label", "of"), ["group", "pivot"], "left")
+        regions = inside.select(F.xxhash64("group", "pivot").alias("group"), "key", "ident", "n", (~F.coalesce(F.col("label") == F.col("of"), F.lit(False))).alias("rest"), more.alias("cut"))
+        now = staged(still.union(regions), "members")
+    # blocks of the core are small, since only the rest is compared with them; the rest is all of a group that was never cut
+    weight = lambda c: F.coalesce(c, F.lit(0))
+    tasks = tasks.withColumn("j", F.greatest(_blocks(weight("r"), BLOCK), F.lit(1)))
+    tasks = tasks.withColumn("i", F.col("j") + _blocks(weight("w") - weight("r"), BLOCK // 5))
+    tasks = tasks.withColumns({"a": _block(F.col("key"), F.col("i")), "b": _block(F.col("key"), F.col("j"))})
+    # each pair of a block and a block of the rest is a task: a member stands in those of its block, and if it is of the rest in those of that too
+    mine = F.transform(F.sequence(F.lit(0), F.col("j") - 1), lambda k: F.struct((F.col("a") * F.col("j") + k).alias("block"), (F.col("rest") & (F.col("b") == k)).alias("rest")))
+    others = F.filter(F.sequence(F.lit(0), F.col("i") - 1), lambda k: F.col("rest") & (k != F.col("a")))
+    theirs = F.transform(others, lambda k: F.struct((k * F.col("j") + F.col("b")).alias("block"), F.lit(True).alias("rest")))
+    return tasks.select("group", "ident", F.explode(F.concat(mine, theirs)).alias("t")).select("group", "ident", "t.block", "t.rest"), links
+
+
+def _joined(tasks: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: links between the members (group, block, text, rest) of each task that connect what is similar and not both outside the rest."""
 
     def told(table: pa.Table) -> pa.Table:
         forget()
-        sets = [s for s in Hasher(n).sets(table.column("text").to_pylist()) if len(s)]
+        sets = Hasher(n).sets(table.column("text").to_pylist())
+        rest = np.array(table.column("rest").to_pylist(), bool)
+        full = [i for i, s in enumerate(sets) if len(s)]
+        sets, rest = [sets[i] for i in full], rest[full]
         keys = [key_of(s) for s in sets]
-        region = Region(sets, percent)
-        region.join(np.argsort(region.n, kind="stable"))
-        return pa.table({"a": pa.array([keys[i] for i, _ in region.links], pa.int64()), "b": pa.array([keys[j] for _, j in region.links], pa.int64())})
+        region = Region(sets, percent) if sets else None
+        links = []
+        if region and rest.any():
+            order = np.argsort(region.n, kind="stable")
+            region.scan(order, None if rest.all() else np.flatnonzero(rest))
+            links = region.links
+        return pa.table({"a": pa.array([keys[i] for i, _ in links], pa.int64()), "b": pa.array([keys[j] for _, j in links], pa.int64())})
 
-    return members.groupBy("group", "block").applyInArrow(told, "a long, b long")
+    return tasks.groupBy("group", "block").applyInArrow(told, "a long, b long")
 
 
 def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -374,17 +524,19 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
     Only components are computed: what is already connected is not compared, so links are neither
     listed nor counted. A null or empty text, or one of white space, has size 0, is linked with nothing and is its own
-    component. Equal rows and texts with equal sets share a key and are compared once. Rows with the
-    same doc_id but different texts keep their own sets. Columns other than doc_id and text are not
-    read. Sets are compared by 64-bit hashes of their n-grams.
+    component. Rows with equal sets share a key and are compared once. Rows are told apart by their text, so
+    rows that share a doc_id but not a text keep their own sets, and rows without one are linked like any others;
+    component_id is the smallest doc_id reached that is not null, null if there is none. An empty table gives no rows.
+    Columns other than doc_id and text are not read. Sets are compared by 64-bit hashes of their n-grams.
     """
-    spark, parts = docs.sparkSession, (100 + percent) / (3 * (100 - percent))  # elements of a part, about
+    parts = (100 + percent) / (3 * (100 - percent))  # elements of a part, about
     by_parts = parts >= 6
     of = (lambda sets: signatures(sets, percent)) if by_parts else (lambda sets: [in_third(s) for s in sets])
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("ident"))
     rows = staged(_profiles(docs, n, of), "profiles")
-    slim = staged(rows.select("doc_id", "n_shingles", "key"), "sets")
-    classes = slim.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
-    entries, texts = rows.select("key", F.explode("regions").alias("region")), docs.select("doc_id", "text")
+    slim = staged(rows.select("doc_id", "n_shingles", "key", "ident"), "sets")
+    classes = slim.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.min("ident").alias("ident"), F.max("n_shingles").alias("n"))
+    entries, texts, spent = rows.select("key", F.explode("regions").alias("region")), docs.select("ident", "text"), [rows]
     if not by_parts:
         # parts would hold too few elements to tell texts apart. A set needs percent of its elements in common with
         # one other, so at most the rest of them can be without any other set; count those in a third of the universe
@@ -392,31 +544,28 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         met = staged(_meet(entries), "met")
         near = classes.join(third, "key", "left").join(met, "key", "left")
         near = near.where(F.coalesce("third", F.lit(0)) - F.coalesce("met", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-        near = staged(near.select("key", F.col("first").alias("doc_id"), "n"), "near")
-        release(spark)
-        texts = staged(docs.select("doc_id", "text").hint("merge").join(near.select("doc_id"), "doc_id", "left_semi"), "texts")
-        release(spark)
-        elements = staged(_profiles(texts, n, lambda sets: sets).select("key", F.explode("regions").alias("region")).distinct(), "elements")
-        release(spark)
+        near = staged(near.select("key", "ident", "n"), "near")
+        chosen = docs.hint("merge").join(near.select("ident"), "ident", "left_semi").select("doc_id", "ident", "text")
+        chosen = staged(chosen, "texts")
+        texts = chosen.select("ident", "text")
+        elements = staged(_profiles(chosen, n, lambda sets: sets).select("key", F.explode("regions").alias("region")).distinct(), "elements")
         entries = _rarest(elements, near.select("key", "n"), percent)
+        spent += [met, elements]
     groups = staged(components(_stars(entries)), "groups")
-    drop_staged(rows)
-    release(spark)
-    members = groups.join(classes, groups["node"] == classes["key"]).select(F.col("component").alias("group"), "key", F.col("first").alias("doc_id"), "n")
-    blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    members = members.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    pairs = F.transform(other, lambda j: F.least("own", j) * F.col("blocks") + F.greatest("own", j))
-    members = staged(members.withColumn("pairs", pairs).drop("own"), "members")
-    # merged, not broadcast, at every size: what is a member grows with the input
-    keyed = texts.hint("merge").join(members.select("doc_id", "group", "pairs"), "doc_id")
-    links = staged(_joined(keyed.select("group", "text", F.explode("pairs").alias("block")), n, percent), "links")
-    found = components(links)
-    heads = classes.join(found, classes["key"] == found["node"], "left").select("key", "first", F.coalesce("component", "key").alias("component"))
+    for table in spent:
+        drop_staged(table)
+    members = groups.join(classes, groups["node"] == classes["key"]).select(F.col("component").alias("group"), "key", "ident", "n")
+    members = staged(members, "members")
+    texts = staged(texts.hint("merge").join(members.select("ident"), "ident", "left_semi"), "texts")
+    tasks, links = _regions(members, texts, n, percent)
+    found = _joined(_with_texts(staged(tasks, "tasks"), texts).select("group", "block", "text", "rest"), n, percent)
+    links = components(staged(found.union(links), "links"))
+    heads = classes.join(links, classes["key"] == links["node"], "left").select("key", "first", F.coalesce("component", "key").alias("component"))
     heads = staged(heads, "heads")
     least = heads.groupBy("component").agg(F.min("first").alias("least"))
     final = heads.join(least, "component").select(F.col("key").alias("k"), "least")
-    return slim.join(final, slim["key"] == final["k"], "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    out = slim.join(final, slim["key"] == final["k"], "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def oracle_sql(n: int = 3, percent: int = 90) -> str:

@@ -150,6 +150,38 @@ def jaccard_components(texts, n, percent):
     return [(len(s), root(i)) for i, s in enumerate(sets)]
 
 
+@pytest.mark.parametrize(("n", "percent", "block"), [(3, 90, 300), (5, 80, 1_000_000)])
+def test_large_groups_are_cut_into_voronoi_regions(spark, monkeypatch, n, percent, block):
+    """Chains of edits: groups that no pivot connects at once, cut round after round; counters show that cells are made."""
+    monkeypatch.setattr(ngram_join, "LARGE", 12)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rnd, texts = random.Random(n), []
+    for chain in range(4):
+        now = [f"c{chain}w{i}" for i in range(60)]
+        for step in range(45):
+            texts.append(" ".join(now))
+            now = list(now)
+            now[step % 60] = f"x{rnd.randrange(10**6)}"
+    base = [f"b{i}" for i in range(80)]
+    texts += [" ".join(w if rnd.random() > 0.02 else f"y{rnd.randrange(10**6)}" for w in base) for _ in range(60)]  # near copies of one text
+    texts += [texts[0], texts[50]]
+    rounds, cut = [], ngram_join._cut
+    monkeypatch.setattr(ngram_join, "_cut", lambda *a: rounds.append(cut(*a)) or rounds[-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.linked(documents(spark, texts).repartition(3), n, percent).collect()}
+    assert [got[i] for i in range(len(texts))] == jaccard_components(texts, n, percent)
+    assert len(rounds) >= 2 and rounds[0].where("inside").count() > 0
+
+
+def test_ngram_join_links_rows_without_ids_and_with_repeated_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text), (None, text + " eleven"), (None, "apart from all others here"), (4, text), (4, "of its own kind entirely"), (3, text), (3, text), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, key int, ident int")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.linked(docs, 3, 80).collect()), key=str)
+    want = [(None, 8, 3), (None, 9, 3), (None, 3, None), (4, 8, 3), (4, 3, 4), (3, 8, 3), (3, 8, 3), (9, 0, 9), (None, 0, None)]
+    assert got == sorted(want, key=str)
+
+
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (2, 60)])
 def test_ngram_join_against_all_pairs(spark, n, percent):
     rnd, texts = random.Random(n), list(TEXTS)
@@ -172,7 +204,7 @@ def test_region_join_equals_all_pairs():
     sets = [np.unique(np.array([rnd.randrange(60) for _ in range(rnd.choice([10, 30, 40]))], np.uint64)) for _ in range(150)]
     sets += [np.append(s[:-1], np.uint64(1000 + i)) for i, s in enumerate(sets[:60])]
     region = ngram_join.Region(sets, 80)
-    region.join(np.arange(len(sets)))
+    region.scan(np.arange(len(sets)))
     of = list(range(len(sets)))
 
     def root(i):

@@ -56,6 +56,25 @@ def test_tree_bounds_hold():
         assert tree.search(q[i], -1, bounds[i], 5, -np.inf) == [(int(-s), c) for s, c in order]
 
 
+@pytest.mark.parametrize("queries", [4_096, 7])
+def test_top_k_with_repeated_ids_and_large_components(spark, monkeypatch, queries):
+    """Rows are told apart, not ids; scores beyond 2**53 are compared exactly; a few long vectors attract all queries."""
+    monkeypatch.setattr(topk_search, "QUERIES", queries)
+    x = clustered(200, 8, 4)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(50, x[3].tolist(), 0), (50, x[50].tolist(), 0), (50, x[50].tolist(), 0), (7, x[50].tolist(), 0)]
+    rows += [(300 + i, (x[i] * 3e6).tolist(), 0) for i in range(6)] + [(400, [2.0**22 + 1] + [1.0] * 7, 0), (401, [2.0**22] + [1.0] * 7, 0), (402, [2.0**22 + 1] + [1.0] * 6 + [1.25], 0), (403, [2.0**30] * 8, 0)]
+    out = topk_search.top_k(vectors(spark, rows), 50, 5, 40).collect()
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out)
+    whole = [[int(np.floor(np.float64(np.float32(c)) * 256)) for c in v] for _, v, _ in rows]
+    want = []
+    for i, (q, *_) in enumerate(rows):
+        if q % 50 == 0:
+            scores = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(whole[i], whole[j], strict=True)))), rows[j][0]) for j in range(len(rows)) if j != i)
+            want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:5])]
+    assert got == sorted(want) and len(got) == 5 * sum(r[0] % 50 == 0 for r in rows)
+
+
 def brute_links(rows, least):
     out, of = {}, {i: i for i, *_ in rows}
 
@@ -88,6 +107,14 @@ def test_near_duplicates_find_all_links(spark, monkeypatch, block):
         assert {i: g[:2] for i, g in got.items()} == want
 
 
+def test_near_duplicates_tell_rows_apart_by_vector_and_label(spark):
+    a, b, far = [1.0] + [0.1] * 7, [1.0] + [0.11] * 7, [-1.0] + [0.5] * 7
+    rows = [(5, a, 1), (5, b, 1), (6, b, 1), (5, a, 2), (5, a, 2), (None, a, 1), (None, far, 1), (9, far, None), (8, [-0.0, 1.0], 3), (7, [0.0, 1.0], 3)]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in vector_dedup.near_duplicates(vectors(spark, rows), 0.93).collect()), key=str)
+    want = [(5, 3, 5, True), (5, 3, 5, True), (6, 3, 5, False), (5, 1, 5, True), (5, 1, 5, True), (None, 3, 5, False), (None, 0, None, False), (9, 0, 9, True), (8, 1, 7, False), (7, 1, 7, True)]
+    assert got == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("hashes", [3, 4])
 def test_recall_at_the_threshold_does_not_fall_with_hashes(spark, hashes):
     r, n = np.random.default_rng(8), 1_000
