@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset and the master is local (tests)."""
     configured = spark.conf.get(_KEY, None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {_KEY} to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="brontide-")
@@ -24,26 +26,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/brontide/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the shared folder, whose files are deleted when the driver ends."""
+    at = f"{shared_dir(spark)}/brontide/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return at
 
 
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Cuts the lineage: a lost executor costs a re-read, never a recomputation of what came before.
+    Cuts the lineage: a lost executor costs a re-read, never a recomputation of what came before. The
+    shuffle files of the write go as soon as it is done, since nothing reads them again.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.options(**({"compression": "zstd"} | options)).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**({"compression": "zstd"} | options)).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of what has been written and is no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that no live DataFrame reads any more."""
     spark = df.sparkSession
