@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import by_day, with_last
+
 
 def as_of(anchors: DataFrame, samples: DataFrame, by: list[str], values: list[str], order: str, strict: bool = False) -> DataFrame:
     """Each anchor with ``values`` of the latest sample of its key before it (``strict``) or up to it.
 
     Both sides have ``by`` and ts; samples have ``order`` to rank equal times (the later wins). The two
-    are put in one sequence per key, sorted once, and the last sample is carried along: work and
-    memory do not depend on how many samples an anchor could see. sample_ts is null without one.
+    are put in one sequence per key and day, sorted once, and the last sample is carried along, from
+    day to day by one row each: work and memory do not depend on how many samples an anchor could see,
+    nor is a key one task. sample_ts is null without one.
     """
     first, second = (1, 0) if not strict else (0, 1)
     extra = [c for c in anchors.columns if c not in (*by, "ts")]
     left = anchors.select(*by, "ts", F.struct(*extra).alias("_a"), F.lit(None).alias("_s"), F.lit(first).alias("_k"), F.lit(None).cast("long").alias("_o"))
     right = samples.select(*by, "ts", F.lit(None).alias("_a"), F.struct(F.col("ts").alias("sample_ts"), *values).alias("_s"), F.lit(second).alias("_k"), F.col(order).cast("long").alias("_o"))
     rows = left.select(*by, "ts", "_a", F.lit(None).cast(right.schema["_s"].dataType).alias("_s"), "_k", "_o").unionByName(right.select(*by, "ts", F.lit(None).cast(left.schema["_a"].dataType).alias("_a"), "_s", "_k", "_o"))
-    seq = Window.partitionBy(*by).orderBy("ts", "_k", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("_s", F.last("_s", ignorenulls=True).over(seq)).where("_a is not null")
+    out = with_last(rows, by, ["ts", "_k", "_o"], "_s", F.col("_s"), by_day()).where("_a is not null")
     return out.select(*by, "ts", "_a.*", "_s.sample_ts", *(f"_s.{v}" for v in values))
 
 

@@ -38,24 +38,30 @@ def anchor_range(changes: DataFrame, width: int) -> DataFrame:
     return changes.groupBy("market").agg((window_start(F.min("ts"), width) + width).alias("first"), (window_start(F.max("ts"), width) + width).alias("last"))
 
 
+def with_mid(state: DataFrame) -> DataFrame:
+    """``state`` with best_bid, best_ask and mid, where both sides are there.
+
+    One shuffle by (market, anchor), whose book is small; what is grouped by these two afterwards needs no other.
+    """
+    book = Window.partitionBy("market", "anchor")
+    price = lambda s: F.when(F.col("side") == s, F.col("price"))
+    rows = state.withColumns({"best_bid": F.max(price("bid")).over(book), "best_ask": F.min(price("ask")).over(book)})
+    return rows.where("best_bid is not null and best_ask is not null").withColumn("mid", (F.col("best_bid") + F.col("best_ask")) / 2)
+
+
 def features(state: DataFrame, near: float = 100.0, far: float = 1000.0) -> DataFrame:
     """Best prices, mid, spread, microprice, depth near the mid and imbalance for each (market, anchor) with both sides."""
     bid, ask = F.col("side") == "bid", F.col("side") == "ask"
-    best = state.groupBy("market", "anchor").agg(
-        F.max(F.when(bid, F.col("price"))).alias("best_bid"), F.max_by(F.when(bid, F.col("qty")), F.when(bid, F.col("price"))).alias("bid_qty"),
-        F.min(F.when(ask, F.col("price"))).alias("best_ask"), F.min_by(F.when(ask, F.col("qty")), F.when(ask, F.col("price"))).alias("ask_qty"),
-    )
-    best = best.where("best_bid is not null and best_ask is not null")
-    mid = (F.col("best_bid") + F.col("best_ask")) / 2
-    best = best.withColumn("mid", mid)
     value, off = F.col("price") * F.col("qty"), F.abs(F.col("price") - F.col("mid"))
     depth = lambda s, d: F.sum(F.when(s & (off <= d), value).otherwise(0.0))
-    depths = state.join(best.select("market", "anchor", "mid"), ["market", "anchor"]).groupBy("market", "anchor").agg(
-        depth(bid, near).alias("bid_near"), depth(ask, near).alias("ask_near"), depth(bid, far).alias("bid_far"), depth(ask, far).alias("ask_far")
+    rows = with_mid(state).groupBy("market", "anchor").agg(
+        F.first("best_bid").alias("best_bid"), F.max_by(F.when(bid, F.col("qty")), F.when(bid, F.col("price"))).alias("bid_qty"),
+        F.first("best_ask").alias("best_ask"), F.min_by(F.when(ask, F.col("qty")), F.when(ask, F.col("price"))).alias("ask_qty"), F.first("mid").alias("mid"),
+        depth(bid, near).alias("bid_near"), depth(ask, near).alias("ask_near"), depth(bid, far).alias("bid_far"), depth(ask, far).alias("ask_far"),
     )
     ratio = lambda a, b: F.when(F.col(a) + F.col(b) > 0, (F.col(a) - F.col(b)) / (F.col(a) + F.col(b)))
     total = F.col("bid_qty") + F.col("ask_qty")
-    return best.join(depths, ["market", "anchor"]).withColumns({
+    return rows.withColumns({
         "spread_bps": F.when(F.col("mid") > 0, (F.col("best_ask") - F.col("best_bid")) / F.col("mid") * 1e4),
         "microprice": F.when(total > 0, (F.col("best_ask") * F.col("bid_qty") + F.col("best_bid") * F.col("ask_qty")) / total),
         "imbalance_near": ratio("bid_near", "ask_near"), "imbalance_far": ratio("bid_far", "ask_far"),
@@ -85,10 +91,9 @@ def top_levels(state: DataFrame, n: int) -> DataFrame:
 
 def binned(state: DataFrame, step: float, limit: float) -> DataFrame:
     """Quantities by price bin of ``step``, within ``limit`` of the mid before and after flooring."""
-    mid = features(state).select("market", "anchor", "mid")
     bin_ = (F.floor(F.col("price") / step) * step).cast("double")
     near = (F.abs(F.col("price") - F.col("mid")) <= limit) & (F.abs(F.col("bin") - F.col("mid")) <= limit)
-    rows = state.withColumn("bin", bin_).join(mid, ["market", "anchor"]).where(near)
+    rows = with_mid(state).withColumn("bin", bin_).where(near)
     return rows.groupBy("market", "anchor", "side", "bin").agg(F.round(F.sum("qty"), 8).alias("qty"))
 
 

@@ -2,37 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import tick_size, window_start
+from ..sources.scratch import staged
+from .ordered import by_day, with_previous, with_running
 
 GAP_MS, CAP_MS = 50, 5_000
 
 
+def greedy_starts(times: DataFrame, cap: int) -> DataFrame:
+    """market, seg, ts, burst_start for different (market, seg, ts): a start is the first time more than ``cap`` after the one before.
+
+    Inherently sequential in a segment, so each is streamed in order with its start as the only state.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        market = seg = start = None
+        for batch in batches:
+            starts = np.empty(batch.num_rows, np.int64)
+            for i, (m, g, t) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("market", "seg", "ts")), strict=True)):
+                if m != market or g != seg or t - start > cap:
+                    market, seg, start = m, g, t
+                starts[i] = start
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("market", "seg", "ts")), pa.array(starts)], ["market", "seg", "ts", "burst_start"])
+
+    rows = times.select("market", "seg", "ts").repartition("market", "seg").sortWithinPartitions("market", "seg", "ts")
+    return rows.mapInArrow(told, f"market {times.schema['market'].dataType.simpleString()}, seg long, ts long, burst_start long")
+
+
 def with_bursts(trades: DataFrame, gap: int = GAP_MS, cap: int = CAP_MS) -> DataFrame:
     """``trades`` with burst_start (ts) and burst (number in its market).
 
-    Side changes and gaps cut by lag and a running sum. The duration limit is greedy - a burst starts
-    at the first trade more than ``cap`` after the start of the one before - so the distinct times of a
-    segment are folded in order; only segments longer than the limit are.
+    Side changes and gaps cut by the trade before and a running sum, day by day. The duration limit is greedy - a
+    burst starts at the first trade more than ``cap`` after the start of the one before - so the different times of
+    a segment are folded in order; only segments longer than the limit are.
     """
-    order = Window.partitionBy("market").orderBy("ts", "idx")
-    cut = (F.col("side") != F.lag("side").over(order)) | (F.col("ts") - F.lag("ts").over(order) > gap)
-    rows = trades.withColumn("seg", F.sum(F.coalesce(cut, F.lit(True)).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    order, day = ["ts", "idx"], by_day()
+    rows = with_previous(trades, ["market"], order, {"p_ts": F.col("ts"), "p_side": F.col("side")}, day)
+    cut = F.coalesce((F.col("side") != F.col("p_side")) | (F.col("ts") - F.col("p_ts") > gap), F.lit(True))
+    rows = with_running(rows, ["market"], order, "seg", cut.cast("long"), day).drop("p_ts", "p_side")
+    rows = staged(rows, "segments")
     spans = rows.groupBy("market", "seg").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    long = spans.where(F.col("b") - F.col("a") > cap).select("market", "seg")
-    times = rows.join(long, ["market", "seg"]).groupBy("market", "seg").agg(F.array_sort(F.collect_set("ts")).alias("times"))
-    fold = F.aggregate("times", F.array().cast("array<bigint>"), lambda acc, t: F.when((F.size(acc) == 0) | (t - F.element_at(acc, -1) > cap), F.concat(acc, F.array(t))).otherwise(acc))
-    starts = times.select("market", "seg", fold.alias("starts"))
-    own = F.coalesce(F.array_max(F.filter("starts", lambda s: s <= F.col("ts"))), F.col("a"))
-    out = rows.join(spans.drop("b"), ["market", "seg"]).join(starts, ["market", "seg"], "left").withColumn("burst_start", own)
-    return out.withColumn("burst", F.dense_rank().over(Window.partitionBy("market").orderBy("seg", "burst_start"))).drop("a", "starts", "seg")
+    long = rows.join(spans.where(F.col("b") - F.col("a") > cap), ["market", "seg"], "left_semi").select("market", "seg", "ts").distinct()
+    rows = rows.join(spans.drop("b"), ["market", "seg"]).join(greedy_starts(long, cap), ["market", "seg", "ts"], "left")
+    rows = rows.withColumn("burst_start", F.coalesce("burst_start", "a")).drop("a")
+    rows = with_previous(rows, ["market"], order, {"p": F.struct("seg", "burst_start")}, day)
+    new = F.coalesce(F.struct("seg", "burst_start") != F.col("p"), F.lit(True))
+    return with_running(rows, ["market"], order, "burst", new.cast("long"), day).withColumn("burst", F.col("burst").cast("int")).drop("p", "seg")
 
 
 def bursts(trades: DataFrame, gap: int = GAP_MS, cap: int = CAP_MS) -> DataFrame:
     """One row per burst: side, times, notional, prints, prices and span in ticks."""
-    rows = with_bursts(trades, gap, cap)
+    return burst_table(with_bursts(trades, gap, cap))
+
+
+def burst_table(rows: DataFrame) -> DataFrame:
+    """``bursts`` from trades that have their burst already."""
     out = rows.groupBy("market", "burst", "side").agg(
         F.min("ts").alias("start"), F.max("ts").alias("end"), F.sum(F.col("price") * F.col("qty")).alias("notional"), F.count("*").alias("prints"),
         F.min("price").alias("low"), F.max("price").alias("high"), F.count_distinct("price").alias("prices"),
@@ -83,12 +114,14 @@ def burst_features(trades: DataFrame, width: int = 1000, length: int = 30, gap:
 def window_summary(trades: DataFrame, width: int = 30_000, gap: int = GAP_MS, cap: int = CAP_MS) -> DataFrame:
     """OHLC, delta and the bursts that start in each window; prints outside bursts of two or more are counted apart."""
     key, value = F.struct("ts", "idx"), F.col("price") * F.col("qty")
-    rows = with_bursts(trades, gap, cap).withColumn("alone", F.count("*").over(Window.partitionBy("market", "burst")) == 1)
+    rows = staged(with_bursts(trades, gap, cap), "bursts")
+    table = staged(burst_table(rows), "burst-table")
+    rows = rows.join(table.select("market", "burst", (F.col("prints") == 1).alias("alone")), ["market", "burst"])
     flow = rows.groupBy("market", window_start(F.col("ts"), width).alias("window")).agg(
         F.min_by("price", key).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", key).alias("close"), F.sum("qty").alias("volume"),
         F.sum(F.when(F.col("side") == "buy", value).otherwise(-value)).alias("delta"), F.count_if("alone").alias("lone_prints"), F.sum(F.when(F.col("alone"), 0.0).otherwise(value)).alias("burst_value"),
     )
-    b = bursts(trades, gap, cap).groupBy("market", window_start(F.col("start"), width).alias("window")).agg(F.count("*").alias("bursts"), F.max("notional").alias("max_notional"), F.max("span_ticks").alias("max_ticks"), F.count_if(F.col("prices") >= 2).alias("multilevel"))
+    b = table.groupBy("market", window_start(F.col("start"), width).alias("window")).agg(F.count("*").alias("bursts"), F.max("notional").alias("max_notional"), F.max("span_ticks").alias("max_ticks"), F.count_if(F.col("prices") >= 2).alias("multilevel"))
     return flow.join(b, ["market", "window"], "left").na.fill(0, ["bursts", "multilevel"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import window_start
+from .ordered import by_day, by_million, with_previous, with_running
 
 #: Price steps of a chart, in order of preference.
 STEPS = (1, 2, 5, 10, 20, 50, 100, 200, 500)
@@ -46,9 +47,10 @@ def separated_peaks(cells: DataFrame, by: list[str], step: float, n: int = 4, ap
 
 def sessions(rows: DataFrame, gap: int) -> DataFrame:
     """market, session, first, last, n: runs of rows with no step over ``gap`` ms."""
-    order = Window.partitionBy("market").orderBy("ts")
-    cut = F.coalesce(F.col("ts") - F.lag("ts").over(order) > gap, F.lit(True)).cast("int")
-    return rows.withColumn("session", F.sum(cut).over(order.rangeBetween(Window.unboundedPreceding, 0))).groupBy("market", "session").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n"))
+    times = rows.groupBy("market", "ts").agg(F.count("*").alias("n"))
+    times = with_previous(times, ["market"], ["ts"], {"p": F.col("ts")}, by_day())
+    cut = F.coalesce(F.col("ts") - F.col("p") > gap, F.lit(True)).cast("long")
+    return with_running(times, ["market"], ["ts"], "session", cut, by_day()).groupBy("market", "session").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("n").alias("n"))
 
 
 def price_outliers(trades: DataFrame, width: int, length: int = 30, share: float = 0.005) -> DataFrame:
@@ -69,13 +71,12 @@ def mid_moves(quotes: DataFrame, width: int) -> DataFrame:
 
 def sequence_verdicts(events: DataFrame) -> DataFrame:
     """Each update (market, idx, seq, seq_start, prev_seq) as ok, duplicate, gap or unverifiable against the largest number before it."""
-    seen = F.max("seq").over(Window.partitionBy("market").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1))
     last = F.col("last")
     verdict = (
         F.when(last.isNull() | F.col("seq").isNull(), "unverifiable").when(F.col("seq") <= last, "duplicate").when(F.col("seq_start").isNotNull(), F.when(F.col("seq_start") <= last + 1, "ok").otherwise("gap"))
         .when(F.col("prev_seq").isNotNull(), F.when(F.col("prev_seq") == last, "ok").otherwise("gap")).when(F.col("seq") == last + 1, "ok").otherwise("gap")
     )
-    return events.withColumn("last", seen).withColumn("verdict", verdict)
+    return with_running(events, ["market"], ["idx"], "last", F.col("seq"), by_million("idx"), "max", strict=True).withColumn("verdict", verdict)
 
 
 def canonical_book(events: DataFrame) -> DataFrame:
@@ -93,14 +94,16 @@ def canonical_book(events: DataFrame) -> DataFrame:
 
 def lifted_after_snapshot(events: DataFrame) -> DataFrame:
     """Events (market, idx, type, ts) with effective_ts: nothing behind a snapshot in order counts as earlier than it."""
-    snap = F.max(F.when(F.col("type") == "snapshot", F.col("ts"))).over(Window.partitionBy("market").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0))
-    return events.withColumn("effective_ts", F.greatest("ts", F.coalesce(snap, F.col("ts"))))
+    rows = with_running(events, ["market"], ["idx"], "_snap", F.when(F.col("type") == "snapshot", F.col("ts")), by_million("idx"), "max")
+    return rows.withColumn("effective_ts", F.greatest("ts", F.coalesce("_snap", F.col("ts")))).drop("_snap")
 
 
-def silence(last_seen: DataFrame, now: int, limits: dict[str, int], default: int) -> DataFrame:
-    """market, channel, age, silent for rows (market, channel, ts): silent when older than its channel's limit."""
+def silence(last_seen: DataFrame, limits: dict[str, int], default: int, now: int | None = None) -> DataFrame:
+    """market, channel, age, silent for rows (market, channel, ts): silent when older than its channel's limit at ``now`` (by default the latest time of all)."""
     limit = F.lit(default)
     for channel, ms in limits.items():
         limit = F.when(F.col("channel") == channel, ms).otherwise(limit)
     latest = last_seen.groupBy("market", "channel").agg(F.max("ts").alias("ts"))
-    return latest.select("market", "channel", (F.lit(now) - F.col("ts")).alias("age"), (F.lit(now) - F.col("ts") > limit).alias("silent"))
+    clock = latest.agg(F.max("ts").alias("now")) if now is None else latest.sparkSession.range(1).select(F.lit(now).alias("now"))
+    age = F.col("now") - F.col("ts")
+    return latest.crossJoin(F.broadcast(clock)).select("market", "channel", age.alias("age"), (age > limit).alias("silent"))

@@ -6,32 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import window_start
+from .ordered import by_day, by_million, with_previous
 
 
 def time_gaps(rows: DataFrame, factor: float = 1.75) -> DataFrame:
     """market, gap_start, gap_end where consecutive times lie more than ``factor`` median steps apart."""
-    w = Window.partitionBy("market").orderBy("ts")
-    steps = rows.select("market", "ts").distinct().withColumn("prev", F.lag("ts").over(w)).where("prev is not null")
+    steps = with_previous(rows.select("market", "ts").distinct(), ["market"], ["ts"], {"prev": F.col("ts")}, by_day()).where("prev is not null")
     usual = steps.groupBy("market").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY ts - prev)").cast("long").alias("step"))
     return steps.join(usual, "market").where(F.col("ts") - F.col("prev") > factor * F.col("step")).select("market", (F.col("prev") + F.col("step")).alias("gap_start"), F.col("ts").alias("gap_end"))
 
 
 def sequence_gaps(rows: DataFrame, by: str, seq: str, order: str) -> DataFrame:
     """For each ``by``: rows, gaps (a step over 1), repeats (a step of 0 or less) of a sequence number in ``order``."""
-    step = F.col(seq) - F.lag(seq).over(Window.partitionBy(by).orderBy(order))
-    return rows.withColumn("step", step).groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col("step") > 1).alias("gaps"), F.count_if(F.col("step") <= 0).alias("repeats"))
+    step = F.col(seq) - F.col("_before")
+    return with_previous(rows, [by], [order], {"_before": F.col(seq)}, by_million(order)).withColumn("step", step).groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col("step") > 1).alias("gaps"), F.count_if(F.col("step") <= 0).alias("repeats"))
 
 
 def inversions(rows: DataFrame, by: str, order: str) -> DataFrame:
     """For each ``by``: rows and how many have a time before that of the row in front of them."""
-    back = F.col("ts") < F.lag("ts").over(Window.partitionBy(by).orderBy(order))
-    return rows.withColumn("back", back).groupBy(by).agg(F.count("*").alias("n"), F.count_if("back").alias("inversions"))
+    back = F.col("ts") < F.col("_before")
+    return with_previous(rows, [by], [order], {"_before": F.col("ts")}, by_million(order)).withColumn("back", back).groupBy(by).agg(F.count("*").alias("n"), F.count_if("back").alias("inversions"))
 
 
 def audit(rows: DataFrame, step: int) -> DataFrame:
     """Rows, first and last time, repeated times and gaps over ``step`` of each market."""
     times = rows.groupBy("market", "ts").agg(F.count("*").alias("n"))
-    times = times.withColumn("gap", F.col("ts") - F.lag("ts").over(Window.partitionBy("market").orderBy("ts")))
+    times = with_previous(times, ["market"], ["ts"], {"_before": F.col("ts")}, F.coalesce(by_day(), F.lit(-1))).withColumn("gap", F.col("ts") - F.col("_before"))
     return times.groupBy("market").agg(F.sum("n").alias("rows"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("gap") > step).alias("gaps"))
 
 
@@ -72,6 +72,9 @@ def counter_deltas(rows: DataFrame, width: int) -> DataFrame:
 
 def rates(rows: DataFrame, samples: int) -> DataFrame:
     """The latest rate of each market over its last ``samples`` samples of a counter, per second."""
-    last = rows.withColumn("k", F.row_number().over(Window.partitionBy("market").orderBy(F.desc("ts"), F.desc("counter")))).where(F.col("k") <= samples)
+    # the last of each day first: Spark keeps ``samples`` rows a day before the shuffle, then of a market's days
+    latest = lambda by: Window.partitionBy(*by).orderBy(F.desc("ts"), F.desc("counter"))
+    last = rows.withColumn("day", by_day()).withColumn("k", F.row_number().over(latest(["market", "day"]))).where(F.col("k") <= samples)
+    last = last.withColumn("k", F.row_number().over(latest(["market"]))).where(F.col("k") <= samples)
     ends = last.groupBy("market").agg(F.max("ts").alias("b"), F.min("ts").alias("a"), F.max_by("counter", F.struct("ts", "counter")).alias("cb"), F.min_by("counter", F.struct("ts", "counter")).alias("ca"))
     return ends.where("b > a").select("market", (F.greatest(F.col("cb") - F.col("ca"), F.lit(0)) / ((F.col("b") - F.col("a")) / 1000)).alias("rate"))

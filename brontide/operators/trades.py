@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import signed, size_class, window_start
+from .ordered import by_day, with_previous, with_running
 
 _EPS = 1e-12
+#: Windows of a grid that one row makes.
+RUN = 10_000
 
 
 def _with_flow(trades: DataFrame, width: int) -> DataFrame:
@@ -56,11 +59,11 @@ def upserted(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
 def trade_flow(trades: DataFrame, width: int = 1000, large: float = 100_000.0) -> DataFrame:
     """The trade-flow features of each window that has trades.
 
-    Interarrival times and side flips look at the trade before, over the market's whole history; they
-    share one sort per market with nothing else. Percentiles are nearest-rank.
+    Interarrival times and side flips look at the trade before, over the market's whole history, day by
+    day. Percentiles are nearest-rank.
     """
-    before = Window.partitionBy("market").orderBy("ts", "idx")
-    rows = _with_flow(trades, width).withColumns({"gap": F.greatest(F.col("ts") - F.lag("ts").over(before), F.lit(0)), "flip": F.col("side") != F.lag("side").over(before)})
+    rows = with_previous(_with_flow(trades, width), ["market"], ["ts", "idx"], {"p_ts": F.col("ts"), "p_side": F.col("side")}, by_day())
+    rows = rows.withColumns({"gap": F.greatest(F.col("ts") - F.col("p_ts"), F.lit(0)), "flip": F.col("side") != F.col("p_side")})
     rank = lambda x, p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {x})")
     buy, qty, value = F.col("side") == "buy", F.col("qty"), F.col("notional")
     out = rows.groupBy("market", F.col("second").alias("ts")).agg(
@@ -84,17 +87,21 @@ def realized_volatility(trades: DataFrame, width: int = 1000, length: int = 10)
     A return belongs to a window if both its trades lie in the frame; it is dealt to those windows by
     its own times, so no frame is ever collected. Windows with fewer than two returns are absent.
     """
-    order = Window.partitionBy("market").orderBy("ts", "idx")
-    rows = trades.select("market", "ts", F.lag("ts").over(order).alias("prior"), F.log(F.col("price") / F.lag("price").over(order)).alias("r"))
+    rows = with_previous(trades, ["market"], ["ts", "idx"], {"prior": F.col("ts"), "p_price": F.col("price")}, by_day())
+    rows = rows.select("market", "ts", "prior", F.log(F.col("price") / F.col("p_price")).alias("r"))
     first, last = window_start(F.col("ts"), width) + width, window_start(F.col("prior"), width) + width * length
     spread = rows.where("r is not null").where(first <= last).select("market", "r", F.explode(F.sequence(first, last, F.lit(width))).alias("second"))
     return spread.groupBy("market", F.col("second").alias("ts")).agg(F.count("*").alias("returns"), F.stddev_pop("r").alias("volatility")).where("returns >= 2")
 
 
 def dense_grid(rows: DataFrame, width: int) -> DataFrame:
-    """market, ts: every window from the first to the last of each market."""
+    """market, ts: every window from the first to the last of each market.
+
+    Runs of windows are made first and dealt to tasks, so no market's grid is one array or one task.
+    """
     ends = rows.groupBy("market").agg(F.min(window_start(F.col("ts"), width)).alias("a"), F.max(window_start(F.col("ts"), width)).alias("b"))
-    return ends.select("market", F.explode(F.sequence("a", "b", F.lit(width))).alias("ts"))
+    runs = ends.select("market", "b", F.explode(F.sequence("a", "b", F.lit(width * RUN))).alias("c")).repartition("market", "c")
+    return runs.select("market", F.explode(F.sequence("c", F.least(F.col("c") + width * (RUN - 1), F.col("b")), F.lit(width))).alias("ts"))
 
 
 def dense_volume(trades: DataFrame, width: int) -> DataFrame:
@@ -112,10 +119,17 @@ def missing_windows(trades: DataFrame, width: int) -> DataFrame:
 def trailing_notional(trades: DataFrame, width: int, length: int = 30) -> DataFrame:
     """For each grid window the notional of the ``length`` windows before it.
 
-    Sums per window first; the frame then runs over one row per window, however many trades there are.
+    Sums per window first; the frame then runs over one row per window, however many trades there are, in
+    chunks of windows that also hold the ``length`` windows before them.
     """
-    frame = Window.partitionBy("market").orderBy("ts").rowsBetween(-length, -1)
-    return dense_volume(trades, width).select("market", "ts", "notional", F.coalesce(F.sum("notional").over(frame), F.lit(0.0)).alias("trailing"))
+    size = width * RUN
+    rows = dense_volume(trades, width).select("market", "ts", "notional")
+    chunk = F.floor(F.col("ts") / size)
+    reach = F.floor((F.col("ts") + width * length) / size)  # the last windows of a chunk stand in the next too
+    rows = rows.withColumn("own", chunk).withColumn("c", F.explode(F.when(reach > chunk, F.sequence(chunk, reach)).otherwise(F.array(chunk))))
+    frame = Window.partitionBy("market", "c").orderBy("ts").rowsBetween(-length, -1)
+    rows = rows.withColumn("trailing", F.coalesce(F.sum("notional").over(frame), F.lit(0.0))).where("own = c")
+    return rows.select("market", "ts", "notional", "trailing")
 
 
 def candles(bars_: DataFrame, width: int) -> DataFrame:
@@ -129,9 +143,11 @@ def candles(bars_: DataFrame, width: int) -> DataFrame:
 def cumulative_delta(bars_: DataFrame, width: int) -> DataFrame:
     """Running signed volume per market over windows of ``width``."""
     sums = bars_.groupBy("market", window_start(F.col("ts"), width).alias("bucket")).agg(F.sum(F.col("buy_qty") - F.col("sell_qty")).alias("delta"))
-    running = Window.partitionBy("market").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.coalesce(F.col("bucket") - F.lag("bucket").over(Window.partitionBy("market").orderBy("bucket")) > width, F.lit(False))
-    return sums.withColumn("total", F.sum("delta").over(running)).withColumn("cvd", F.when(gap, None).otherwise(F.col("total"))).drop("total")
+    chunk = F.floor(F.col("bucket") / (width * RUN))
+    rows = with_running(sums, ["market"], ["bucket"], "total", F.col("delta"), chunk)
+    rows = with_previous(rows, ["market"], ["bucket"], {"p": F.col("bucket")}, chunk)
+    gap = F.coalesce(F.col("bucket") - F.col("p") > width, F.lit(False))
+    return rows.select("market", "bucket", "delta", F.when(gap, None).otherwise(F.col("total")).alias("cvd"))
 
 
 def footprint(trades: DataFrame, width: int = 300_000, step: float = 1.0) -> DataFrame:

@@ -382,45 +382,31 @@ def oi_normalize(spark, d):
     return out.select("idx", "market", "as_of_ms", "error_code", "age_ms", "oi_btc", "oi_usd", "status")
 
 
-@query("""SELECT a.market, a.ts, l_orderkey, l_partkey, l_suppkey, l_extendedprice, s.ts AS sample_ts, CASE WHEN a.ts - s.ts <= 2 * $D THEN s.oi END AS oi, a.ts - s.ts AS age, CASE WHEN s.ts IS NULL THEN 'none' WHEN a.ts - s.ts > 2 * $D THEN 'stale' ELSE 'fresh' END AS status
-  FROM (SELECT l_suppkey % 20 AS market, (epoch_us(l_shipdate) // 1000) AS ts, * FROM lineitem WHERE l_linenumber = 1) a ASOF LEFT JOIN (SELECT o_custkey % 20 AS market, (epoch_us(o_orderdate) // 1000) AS ts, arg_max(o_totalprice, o_orderkey) AS oi FROM orders GROUP BY 1, 2) s ON a.market = s.market AND a.ts >= s.ts""")
-def oi_asof(spark, d):
-    """The first line item of each order only, as in its counterpart; oi_asof_all has them all."""
-    out = open_interest.at_anchors(T.oi_anchors(spark, d).where("anchor.l_linenumber = 1"), T.oi_samples(spark, d), 2 * DAY)
-    return out.select("market", "ts", "anchor.*", "sample_ts", "oi", "age", "status").drop("l_linenumber")
-
-
 @query("""SELECT a.market, a.ts, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, s.ts AS sample_ts, CASE WHEN a.ts - s.ts <= 2 * $D THEN s.oi END AS oi, a.ts - s.ts AS age, CASE WHEN s.ts IS NULL THEN 'none' WHEN a.ts - s.ts > 2 * $D THEN 'stale' ELSE 'fresh' END AS status
   FROM (SELECT l_suppkey % 20 AS market, (epoch_us(l_shipdate) // 1000) AS ts, * FROM lineitem) a ASOF LEFT JOIN (SELECT o_custkey % 20 AS market, (epoch_us(o_orderdate) // 1000) AS ts, arg_max(o_totalprice, o_orderkey) AS oi FROM orders GROUP BY 1, 2) s ON a.market = s.market AND a.ts >= s.ts""")
-def oi_asof_all(spark, d):
+def oi_asof(spark, d):
     out = open_interest.at_anchors(T.oi_anchors(spark, d), T.oi_samples(spark, d), 2 * DAY)
     return out.select("market", "ts", "anchor.*", "sample_ts", "oi", "age", "status")
 
 
-@query("""SELECT market, side, price, coalesce(n.qty, 0) AS qty FROM (SELECT * FROM state WHERE anchor = (SELECT min(b) - $W FROM ends)) o FULL JOIN (SELECT * FROM state WHERE anchor = (SELECT min(b) FROM ends)) n USING (market, side, price) WHERE o.qty IS DISTINCT FROM n.qty""")
+@query(""", two AS (SELECT min(b) AS t FROM ends), marks AS (SELECT market, unnest([t - $W, t]) AS anchor FROM ends, two),
+pair AS MATERIALIZED (SELECT market, anchor, side, price, qty FROM (SELECT m.market, m.anchor, l.side, l.price, arg_max(l.qty, l.ord) AS qty FROM marks m JOIN ends e ON e.market = m.market AND m.anchor BETWEEN e.a AND e.b JOIN levels l ON l.market = m.market AND l.ts < m.anchor GROUP BY ALL) WHERE qty > 0)
+SELECT market, side, price, coalesce(n.qty, 0) AS qty FROM (SELECT p.* FROM pair p, two WHERE anchor = t - $W) o FULL JOIN (SELECT p.* FROM pair p, two WHERE anchor = t) n USING (market, side, price) WHERE o.qty IS DISTINCT FROM n.qty""")
 def snapshot_diff(spark, d):
-    state = _state(spark, d)
     levels = T.book_levels(spark, d)
-    last = book.anchor_range(levels, WEEK).agg(F.min("last").alias("l"))
-    marked = state.join(F.broadcast(last))
+    ends = book.anchor_range(levels, WEEK)
+    ends = ends.crossJoin(F.broadcast(ends.agg(F.min("last").alias("l"))))
+    two = ends.select("market", F.greatest("first", F.col("l") - WEEK).alias("first"), F.col("l").alias("last"), "l")
+    marked = book.state_at(levels, two.drop("l"), WEEK).join(F.broadcast(two.select("market", "l")), "market")
     pick = lambda t: marked.where(F.col("anchor") == t).select("market", "side", "price", "qty")
     return asof.snapshot_diff(pick(F.col("l") - WEEK), pick(F.col("l")), ["market", "side", "price"], "qty")
 
 
-@query("""SELECT p.idx, p.market, p.ts, (SELECT arg_min(i.id, (i.hi - i.lo, i.id)) FROM (SELECT market, burst AS id, start AS lo, "end" + $H AS hi FROM bursts) i WHERE i.market = p.market AND p.ts BETWEEN i.lo AND i.hi) AS interval_id FROM tape p WHERE p.idx % 3 = 0""")
+@query("""SELECT p.idx, p.market, p.ts, arg_min(i.id, (i.hi - i.lo, i.id)) AS interval_id FROM tape p LEFT JOIN (SELECT market, burst AS id, start AS lo, "end" + $H AS hi FROM bursts) i ON i.market = p.market AND p.ts BETWEEN i.lo AND i.hi GROUP BY p.idx, p.market, p.ts""")
 def late_to_batch(spark, d):
-    """Every third trade only, as in its counterpart; late_to_batch_all has them all."""
-    return _to_batch(T.tape(spark, d), "idx % 3 = 0")
-
-
-def _to_batch(tape, points="true"):
+    tape = T.tape(spark, d)
     batches = bursts.bursts(tape, GAP, CAP).select("market", F.col("burst").cast("long").alias("interval_id"), F.col("start").alias("lo"), (F.col("end") + HOUR).alias("hi"))
-    return asof.narrowest_interval(tape.where(points).select("idx", "market", "ts"), batches, ["market"], HOUR)
-
-
-@query("""SELECT p.idx, p.market, p.ts, arg_min(i.id, (i.hi - i.lo, i.id)) AS interval_id FROM tape p LEFT JOIN (SELECT market, burst AS id, start AS lo, "end" + $H AS hi FROM bursts) i ON i.market = p.market AND p.ts BETWEEN i.lo AND i.hi GROUP BY p.idx, p.market, p.ts""")
-def late_to_batch_all(spark, d):
-    return _to_batch(T.tape(spark, d))
+    return asof.narrowest_interval(tape.select("idx", "market", "ts"), batches, ["market"], HOUR)
 
 
 @query("""SELECT market, side, price, min(idx) AS idx FROM tape WHERE ts - ts % $D > (SELECT min(ts) FROM tape) + 10 * $D AND (market, side, price) NOT IN (SELECT (market, side, price) FROM tape WHERE ts - ts % $D <= (SELECT min(ts) FROM tape) + 10 * $D) GROUP BY ALL""")
@@ -558,4 +544,4 @@ def snapshot_reorder(spark, d):
 @query("""SELECT market, side AS channel, max((SELECT max(ts) FROM tape)) - max(ts) AS age, max((SELECT max(ts) FROM tape)) - max(ts) > CASE WHEN side = 'buy' THEN $H ELSE 2 * $H END AS silent FROM tape GROUP BY market, side""")
 def channel_silence(spark, d):
     tape = T.tape(spark, d)
-    return display.silence(tape.select("market", F.col("side").alias("channel"), "ts"), tape.agg(F.max("ts")).first()[0], {"buy": HOUR}, 2 * HOUR)
+    return display.silence(tape.select("market", F.col("side").alias("channel"), "ts"), {"buy": HOUR}, 2 * HOUR)

@@ -44,4 +44,4 @@ def test_rest_replies(spark):
 
 def test_status_and_silence(spark):
     seen = spark.createDataFrame([("m", "trade", 100), ("m", "trade", 900), ("m", "depth", 100)], "market string, channel string, ts long")
-    assert {(r.channel, r.age, r.silent) for r in display.silence(seen, 1000, {"trade": 50}, 5000).collect()} == {("trade", 100, True), ("depth", 900, False)}
+    assert {(r.channel, r.age, r.silent) for r in display.silence(seen, {"trade": 50}, 5000, 1000).collect()} == {("trade", 100, True), ("depth", 900, False)}

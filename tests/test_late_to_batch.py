@@ -5,7 +5,7 @@ from .conftest import SMALL
 
 
 def test_every_trade_gets_its_narrowest_batch(spark):
-    got = {r.idx: r.interval_id for r in catalogue.QUERIES["late_to_batch_all"](spark, SMALL).collect()}
+    got = {r.idx: r.interval_id for r in catalogue.QUERIES["late_to_batch"](spark, SMALL).collect()}
     batches = {}
     trades = sorted((r.market, r.ts, r.idx, r.side) for r in T.tape(spark, SMALL).collect())
     for market, ts, _, side in trades:
