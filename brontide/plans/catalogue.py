@@ -545,3 +545,6 @@ def snapshot_reorder(spark, d):
 def channel_silence(spark, d):
     tape = T.tape(spark, d)
     return display.silence(tape.select("market", F.col("side").alias("channel"), "ts"), {"buy": HOUR}, 2 * HOUR)
+
+
+from . import features  # noqa: E402,F401  registers its queries
