@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import asof, book, bursts, contracts, depth, more, trades
+from ..sources import sinks
 from ..sources import tables as T
 from .catalogue import CAP, DAY, GAP, HOUR, LARGE, WEEK, _quotes, _state, query
 
@@ -217,6 +218,11 @@ def previous_sequence(spark, d):
     return more.previous_sequence(rows).select("market", "idx", "prev_seq")
 
 
+@query("SELECT market, idx, row_number() OVER (PARTITION BY market ORDER BY ts, idx) - 1 AS row_id FROM tape")
+def row_numbers(spark, d):
+    return sinks.numbered(T.tape(spark, d).select("market", "ts", "idx"), ["ts", "idx"], S.window_start(F.col("ts"), DAY)).select("market", "idx", "row_id")
+
+
 @query("""SELECT o_orderkey AS idx, least(coalesce(CASE WHEN o_orderkey % 3 = 0 THEN a + 5 END, CASE WHEN o_orderkey % 2 = 0 THEN a - 7 END, a), a) AS event_ts FROM (SELECT *, epoch_us(o_orderdate) // 1000 AS a FROM orders)""")
 def oi_event_time(spark, d):
     o, k, a = T.table(spark, d, "orders"), F.col("o_orderkey"), T.millis(F.col("o_orderdate"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .scratch import new_path, staged
+from ..operators.ordered import with_running
+from .scratch import staged
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -91,19 +92,6 @@ def commit_window(rows: DataFrame, path: str, window: int) -> str:
     return "committed"
 
 
-def eligible_for_cleanup(raw: DataFrame, manifest: DataFrame, outputs: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """Raw blocks (market, block_ms) that the manifest and the outputs prove and that aren't quarantined."""
-    keys = ["market", "block_ms"]
-    return raw.join(manifest.select(*keys), keys, "left_semi").join(outputs.select(*keys), keys, "left_semi").join(quarantine.select(*keys), keys, "left_anti")
-
-
-def numbered(lines: DataFrame, order: list[str]) -> DataFrame:
-    """row_id from 0 in ``order`` for each market."""
-    return lines.withColumn("row_id", F.row_number().over(Window.partitionBy("market").orderBy(*order)) - 1)
-
-
-def scratch_copy(rows: DataFrame, name: str) -> str:
-    """The path of a written copy in the shared folder."""
-    path = new_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return path
+def numbered(lines: DataFrame, order: list[str], chunk: Column) -> DataFrame:
+    """row_id from 0 in ``order`` for each market; ``chunk`` rises with the order."""
+    return with_running(lines, ["market"], order, "row_id", F.lit(1).cast("long"), chunk).withColumn("row_id", F.col("row_id") - 1)
