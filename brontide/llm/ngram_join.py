@@ -360,7 +360,9 @@ def _rarest(elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 
 #: A group with more open members than this is cut into Voronoi regions, around about so many pivots; regions that hold this share of their group or more don't count as cut.
-LARGE, PIVOTS, SHRINKS, ROUNDS = 256, 12, 0.75, 12
+LARGE, PIVOTS, SHRINKS, ROUNDS = 256, 12, 0.75, 4
+#: Members of a block of a group.
+CROWD = 1_024
 CUT = {"group": pa.int64(), "pivot": pa.int64(), "key": pa.int64(), "inside": pa.bool_(), "similar": pa.bool_()}
 
 
@@ -452,23 +454,26 @@ def _regions(members: DataFrame, texts: DataFrame, n: int, percent: int) -> tupl
     A group's members are open (``rest``) or in its core, whose members are connected already, so pairs within the
     core need no comparison. A group with many open members is cut into Voronoi regions round by round. A
     region's core are the members that pivots connect with its own. Where regions would not be much smaller than the
-    group, as among near copies, it stays whole and its core grows by what pivots connect with it. Groups
-    with few open members are joined in blocks, of which each meets each block of the rest.
+    group, as among near copies, it stays whole: what pivots connect with each other becomes its core, and it
+    isn't cut again. What remains is joined in blocks, of which each meets each block of the rest.
     """
     links, tasks = members.sparkSession.createDataFrame([], "a long, b long"), None
     now = staged(members.select("group", "key", "ident", "n", F.lit(True).alias("rest"), F.lit(True).alias("cut")), "members")
     for seed in range(ROUNDS):
         sizes = now.groupBy("group").agg(F.count("*").alias("m"), F.count_if("rest").alias("open"), F.sum("n").alias("w"), F.coalesce(F.sum(F.when(F.col("rest"), F.col("n"))), F.lit(0)).alias("r"))
         # only groups that are more than one task matter, and they are few: each has many members or many n-grams
-        sizes = staged(sizes.where((F.col("open") > LARGE) | (F.col("w") > BLOCK // 5)), "sizes")
+        sizes = staged(sizes.where((F.col("open") > LARGE) | (F.col("m") > CROWD) | (F.col("w") > BLOCK // 5)), "sizes")
         sized = now.join(_few(sizes), "group", "left")
         large = F.col("cut") & F.coalesce(F.col("open") > LARGE, F.lit(False))
-        part = sized.where(~large).select("group", "key", "ident", "rest", "w", "r")
+        part = sized.where(~large).select("group", "key", "ident", "rest", "w", "r", "m", "open")
         tasks = part if tasks is None else tasks.unionByName(part)
         big = staged(sized.where(large).select("group", "key", "ident", "n", "rest", "open", "m", "w"), "large")
         if big.isEmpty():
             break
-        cut = staged(_cut(staged(_with_texts(big.select("group", "key", "ident", "rest", "open", "w"), texts), "texts"), n, percent, seed), "cells")
+        with_text = staged(_with_texts(big.select("group", "key", "ident", "rest", "open", "w"), texts), "texts")
+        if not seed:  # groups are disjoint as yet, and later rounds cut only what is in them
+            texts = with_text.select("ident", "text")
+        cut = staged(_cut(with_text, n, percent, seed), "cells")
         links = links.union(cut.where("similar").select("key", "pivot"))
         labels = staged(_labels(cut, big.where("not rest").select("group", "key", F.lit(True).alias("core"))), "labels")
         # all pivots similar to a member have one label, so any of them tells it
@@ -481,15 +486,15 @@ def _regions(members: DataFrame, texts: DataFrame, n: int, percent: int) -> tupl
         more = F.lit(seed + 2 < ROUNDS)
         facts = big.join(_few(fate), "group")
         stays = F.coalesce("whole", F.lit(True))  # also a group for which no pivot was drawn
-        still = facts.where(stays).select("group", "key", "ident", "n", (F.col("rest") & ~F.coalesce(F.col("label") == F.col("hub"), F.lit(False))).alias("rest"), more.alias("cut"))
+        still = facts.where(stays).select("group", "key", "ident", "n", (F.col("rest") & ~F.coalesce(F.col("label") == F.col("hub"), F.lit(False))).alias("rest"), F.lit(False).alias("cut"))
         split = facts.where(~stays).select("group", "key", "ident", "n", "label")
         inside = cut.where("inside").select("group", "pivot", "key").join(split, ["group", "key"]).join(_few(labels).withColumnRenamed("label", "of"), ["group", "pivot"], "left")
         regions = inside.select(F.xxhash64("group", "pivot").alias("group"), "key", "ident", "n", (~F.coalesce(F.col("label") == F.col("of"), F.lit(False))).alias("rest"), more.alias("cut"))
         now = staged(still.union(regions), "members")
     # blocks of the core are small, since only the rest is compared with them; the rest is all of a group that was never cut
     weight = lambda c: F.coalesce(c, F.lit(0))
-    tasks = tasks.withColumn("j", F.greatest(_blocks(weight("r"), BLOCK), F.lit(1)))
-    tasks = tasks.withColumn("i", F.col("j") + _blocks(weight("w") - weight("r"), BLOCK // 5))
+    tasks = tasks.withColumn("j", F.greatest(_blocks(weight("r"), BLOCK), _blocks(weight("open"), CROWD), F.lit(1)))
+    tasks = tasks.withColumn("i", F.col("j") + F.greatest(_blocks(weight("w") - weight("r"), BLOCK // 5), _blocks(weight("m") - weight("open"), CROWD)))
     tasks = tasks.withColumns({"a": _block(F.col("key"), F.col("i")), "b": _block(F.col("key"), F.col("j"))})
     # each pair of a block and a block of the rest is a task: a member stands in those of its block, and if it is of the rest in those of that too
     mine = F.transform(F.sequence(F.lit(0), F.col("j") - 1), lambda k: F.struct((F.col("a") * F.col("j") + k).alias("block"), (F.col("rest") & (F.col("b") == k)).alias("rest")))
