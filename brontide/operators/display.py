@@ -106,4 +106,4 @@ def silence(last_seen: DataFrame, limits: dict[str, int], default: int, now: int
     latest = last_seen.groupBy("market", "channel").agg(F.max("ts").alias("ts"))
     clock = latest.agg(F.max("ts").alias("now")) if now is None else latest.sparkSession.range(1).select(F.lit(now).alias("now"))
     age = F.col("now") - F.col("ts")
-    return latest.crossJoin(F.broadcast(clock)).select("market", "channel", age.alias("age"), (age > limit).alias("silent"))
+    return latest.join(F.broadcast(clock)).select("market", "channel", age.alias("age"), (age > limit).alias("silent"))

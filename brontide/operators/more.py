@@ -29,7 +29,7 @@ def covered_times(rows: DataFrame, required: DataFrame) -> DataFrame:
     """ts, markets: times at which every market of ``required`` has a row. Markets are few, and are sent to all tasks as one row."""
     need = required.agg(F.count_distinct("market").alias("need"))
     out = rows.join(F.broadcast(required.distinct()), "market").groupBy("ts").agg(F.array_sort(F.collect_set("market")).alias("markets"))
-    return out.crossJoin(F.broadcast(need)).where(F.size("markets") == F.col("need")).select("ts", "markets")
+    return out.join(F.broadcast(need)).where(F.size("markets") == F.col("need")).select("ts", "markets")
 
 
 def book_order(path: str = "path", line: str = "line") -> list[Column]:

@@ -395,7 +395,7 @@ SELECT market, side, price, coalesce(n.qty, 0) AS qty FROM (SELECT p.* FROM pair
 def snapshot_diff(spark, d):
     levels = T.book_levels(spark, d)
     ends = book.anchor_range(levels, WEEK)
-    ends = ends.crossJoin(F.broadcast(ends.agg(F.min("last").alias("l"))))
+    ends = ends.join(F.broadcast(ends.agg(F.min("last").alias("l"))))
     two = ends.select("market", F.greatest("first", F.col("l") - WEEK).alias("first"), F.col("l").alias("last"), "l")
     marked = book.state_at(levels, two.drop("l"), WEEK).join(F.broadcast(two.select("market", "l")), "market")
     pick = lambda t: marked.where(F.col("anchor") == t).select("market", "side", "price", "qty")
