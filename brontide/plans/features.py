@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import asof, book, bursts, contracts, depth, more, trades
-from ..sources import sinks
+from ..sources import rest, sinks
 from ..sources import tables as T
 from .catalogue import CAP, DAY, GAP, HOUR, LARGE, WEEK, _quotes, _state, query
 
@@ -358,3 +358,63 @@ def covered_times(spark, d):
     b = trades.bars(T.tape(spark, d), HOUR).select("market", "ts")
     names = b.select("market").distinct()
     return more.covered_times(b, names)
+
+
+def _text(*columns: str):
+    """The columns as texts, as replies hold numbers."""
+    return [F.col(c).cast("string") for c in columns]
+
+
+@query("""SELECT market, ts, round(close, 6) AS last_price, round(high, 6) AS high_24h, round(low, 6) AS low_24h, round(buy_qty, 6) AS volume_24h FROM bars""")
+def ticker_replies(spark, d):
+    """Each hour's bar as the ticker reply of one of five exchanges, read back."""
+    b = trades.bars(T.tape(spark, d), HOUR)
+    last, high, low, volume = _text("close", "high", "low", "buy_qty")
+    row = lambda *names: F.struct(*(x.alias(n) for n, x in zip(names, (last, high, low, volume), strict=True)))
+    listed = F.struct(*(F.array(x).alias(n) for n, x in zip("chlv", (last, high, low, volume), strict=True)))
+    bodies = {
+        "binance_spot": row("lastPrice", "highPrice", "lowPrice", "volume"), "coinbase_spot": row("price", "high", "low", "volume"), "okx_spot": F.struct(F.array(row("last", "high24h", "low24h", "vol24h")).alias("data")),
+        "bybit_spot": F.struct(F.lit(0).alias("retCode"), F.struct(F.array(row("lastPrice", "highPrice24h", "lowPrice24h", "volume24h")).alias("list")).alias("result")),
+        "kraken_spot": F.struct(F.array().cast("array<string>").alias("error"), F.struct(listed.alias("PAIR")).alias("result")),
+    }
+    turn, body = F.floor(F.col("ts") / HOUR) % len(bodies), F.lit(None).cast("string")
+    for i, value in enumerate(bodies.values()):
+        body = F.when(turn == i, F.to_json(value)).otherwise(body)
+    replies = b.select(F.col("market").alias("of"), "ts", F.element_at(F.array(*map(F.lit, bodies)), (turn + 1).cast("int")).alias("market"), body.alias("body"))
+    return rest.tickers(replies, ("of", "ts")).select(F.col("of").alias("market"), "ts", "last_price", "high_24h", "low_24h", "volume_24h")
+
+
+@query("""SELECT o_orderkey AS idx, CASE WHEN o_orderkey % 20 <> 10 THEN round(o_totalprice / 10, 6) END AS mark_price, CASE WHEN o_orderkey % 4 <> 3 AND o_orderkey % 20 <> 10 THEN round((o_orderkey % 7 - 3) / 100.0, 6) END AS funding_rate, CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice, 6) END AS open_interest,
+  CASE WHEN o_orderkey % 5 <> 0 THEN epoch_ms(o_orderdate::TIMESTAMP) END AS source_ts, CASE WHEN o_orderkey % 5 = 0 THEN 'source_error' END AS error_code FROM orders""")
+def derivative_replies(spark, d):
+    """Each open-interest sample as the replies of one of four markets, two of which answer in parts; each fifth tells no open interest (and the third market then nothing)."""
+    s = T.oi_samples(spark, d).select("idx", "ts", F.when(F.col("idx") % 5 != 0, F.col("oi").cast("string")).alias("oi"), (F.col("oi") / 10).cast("string").alias("mark"), ((F.col("idx") % 7 - 3) / 100).cast("string").alias("funding"), F.col("ts").cast("string").alias("time"))
+    body = lambda **fields: F.to_json(F.struct(*(F.col(x).alias(n) for n, x in fields.items())))
+    data = lambda **fields: F.concat(F.lit('{"data":['), body(**fields), F.lit("]}"))
+    parts = {
+        "binance_perp": [body(markPrice="mark", lastFundingRate="funding", time="time"), body(openInterest="oi", time="time")],
+        "okx_perp": [data(markPx="mark"), data(fundingRate="funding"), data(oi="oi", ts="time")],
+        "hyperliquid_perp": [F.concat(F.lit("[{},["), F.when(F.col("oi").isNotNull(), body(markPx="mark", funding="funding", openInterest="oi")).otherwise(F.lit("")), F.lit("]]"))],
+        "bitmex_perp": [F.concat(F.lit("["), F.to_json(F.struct(F.when(F.col("oi").isNotNull(), "XBTUSD").alias("symbol"), F.col("mark").alias("markPrice"), F.col("oi").alias("openInterest"), F.col("time").alias("timestamp"))), F.lit("]"))],
+    }
+    turn, bodies = F.col("idx") % len(parts), F.lit(None).cast("array<string>")
+    for i, texts in enumerate(parts.values()):
+        bodies = F.when(turn == i, F.array(*texts)).otherwise(bodies)
+    replies = s.select("idx", "ts", F.element_at(F.array(*map(F.lit, parts)), (turn + 1).cast("int")).alias("market"), F.explode(bodies).alias("body"))
+    return rest.derivatives(replies, ("market", "ts", "idx")).select("idx", "mark_price", "funding_rate", "open_interest", "source_ts", "error_code")
+
+
+@query("""SELECT market, h AS ts, CASE side WHEN 'buy' THEN 'bid' ELSE 'ask' END AS side, price, round(sum(qty), 6) AS qty FROM hours GROUP BY ALL""")
+def depth_replies(spark, d):
+    """The trades of an hour as the orders of one of three exchanges' depth replies, read back as price levels."""
+    t = T.tape(spark, d).withColumn("h", S.window_start(F.col("ts"), HOUR))
+    order = F.struct(F.when(F.col("side") == "buy", "Buy").otherwise("Sell").alias("side"), F.col("price").cast("string").alias("price"), F.col("qty").cast("string").alias("size"))
+    books = t.groupBy("market", "h").agg(F.collect_list(order).alias("o"))
+    one = lambda side, f: F.transform(F.filter("o", lambda x: x["side"] == side), f)
+    pair, named = lambda x: F.array(x["price"], x["size"]), lambda x: F.struct(x["price"].alias("px"), x["size"].alias("sz"))
+    coinbase = F.to_json(F.struct(one("Buy", pair).alias("bids"), one("Sell", pair).alias("asks")))
+    hyperliquid = F.to_json(F.struct(F.array(one("Buy", named), one("Sell", named)).alias("levels")))
+    turn = F.floor(F.col("h") / HOUR) % 3
+    body = F.when(turn == 0, coinbase).when(turn == 1, hyperliquid).otherwise(F.to_json("o"))
+    replies = books.select(F.col("market").alias("of"), "h", F.when(turn == 0, "coinbase_spot").when(turn == 1, "hyperliquid_perp").otherwise("bitmex_perp").alias("market"), body.alias("body"))
+    return rest.depth_levels(replies, ("market", "of", "h")).select(F.col("of").alias("market"), F.col("h").alias("ts"), "side", "price", "qty")
