@@ -13,6 +13,7 @@ small enough is joined in one task, its members in turn being the pivots.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+@functools.lru_cache(2)  # of the usual size: a table a group would cost more than most groups
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, _U)
     out[0] = 1
@@ -170,6 +172,28 @@ def signatures(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, _U) for x in out]
 
 
+def room(a, b, percent: int):
+    """The most elements in which sets of sizes ``a`` and ``b`` differ if they are similar enough."""
+    return (a + b) * (100 - percent) // (100 + percent)
+
+
+def sketch_words(most: int, percent: int) -> int:
+    """64-bit words of the sketches of sets of up to ``most`` elements: at least eight bits for each element that may differ."""
+    return 1 << max(int(8 * room(most, most, percent)) - 1, 1).bit_length() >> 6 or 1
+
+
+def sketches(codes: np.ndarray, lengths: np.ndarray, words: int) -> np.ndarray:
+    """A row of bits for each set: the parity of its elements in each of 64 * ``words`` parts of the universe.
+
+    Two rows differ in no more bits than their sets in elements, so more bits than room() prove a pair dissimilar.
+    """
+    out = np.zeros((len(lengths), words), _U)
+    bit = codes.astype(_U) & _U(64 * words - 1)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    np.bitwise_xor.at(out.reshape(-1), row * words + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+    return out
+
+
 class Region:
     """Sets that are joined with each other: links of similar pairs, as far as they change who is connected."""
 
@@ -229,26 +253,31 @@ class Region:
     def scan(self, members: np.ndarray, pivots: np.ndarray | None = None) -> None:
         """Link all similar pairs of ``members`` of which one is among ``pivots`` (by default all).
 
-        Each in turn is the pivot; earlier pivots' distances exclude what the triangle inequality can.
+        Each in turn is the pivot; earlier pivots' distances exclude what the triangle inequality can, sketches nearly all the rest.
         """
         kept: list[np.ndarray] = []
-        roots = np.array([self.root(i) for i in members.tolist()])
+        turn = np.ones(len(members), bool) if pivots is None else np.isin(members, pivots)
+        roots, known = np.array([self.root(i) for i in members.tolist()]), len(self.links)
         met = np.zeros(len(members), bool)
-        for k in range(len(members)) if pivots is None else np.flatnonzero(np.isin(members, pivots)).tolist():
+        bits, n = sketches(mix(self.code), self.n, sketch_words(int(self.n.max()), self.percent))[members], self.n[members]
+        for k in np.flatnonzero(turn).tolist():
             met[k] = True
             open_ = (roots != roots[k]) & ~met  # earlier pivots have met this one
             for far in kept:
                 open_ &= np.abs(far - far[k]) <= self.theta + 1e-9
-            if not open_.any():
+            at = np.flatnonzero(open_)
+            at = at[np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= room(n[at], n[k], self.percent)]
+            if not len(at):
                 continue
             pivot = int(members[k])
             if len(kept) < 12:
                 kept.append(self.distances(pivot, members))
             else:
-                self.distances(pivot, members[open_])
-            roots = np.array([self.root(i) for i in members.tolist()])
-            if (roots == roots[0]).all():
-                return
+                self.distances(pivot, members[at])
+            if len(self.links) > known:
+                roots, known = np.array([self.root(i) for i in members.tolist()]), len(self.links)
+                if (roots == roots[0]).all():
+                    return
 
 
 def in_third(s: np.ndarray) -> np.ndarray:
@@ -361,8 +390,8 @@ def _rarest(elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 #: A group with more open members than this is cut into Voronoi regions, around about so many pivots; regions that hold this share of their group or more don't count as cut.
 LARGE, PIVOTS, SHRINKS, ROUNDS = 256, 12, 0.75, 4
-#: Members of a block of a group.
-CROWD = 1_024
+#: Members of a block of a group; of a group that isn't sifted by sketches, at most; of a block of sketches.
+CROWD, FEW, SHEET = 1_024, 16, 4_096
 CUT = {"group": pa.int64(), "pivot": pa.int64(), "key": pa.int64(), "inside": pa.bool_(), "similar": pa.bool_()}
 
 
@@ -448,6 +477,77 @@ def _few(rows: DataFrame, few: int = 20_000) -> DataFrame:
     return F.broadcast(rows) if rows.limit(few + 1).count() <= few else rows
 
 
+def _sifted(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``members`` (group, key, ident, n) in the groups that remain when sketches tell which pairs of a group may be similar.
+
+    Small parts put unrelated long texts into one region, and near copies with many changes into the group of
+    those with few; both kinds of groups grow with the input. All pairs of a larger group are compared by their sketches,
+    a hundredth of their texts, by size class and in blocks; what stays connected is a group, and what no sketch connects with
+    anything is similar to nothing.
+    """
+    sizes = members.groupBy("group").agg(F.count("*").alias("m")).where(F.col("m") > FEW)
+    sized = staged(members.join(_few(staged(sizes, "sizes")), "group", "left"), "sized")
+    large = sized.where("m is not null")
+    if large.isEmpty():
+        return members
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        hasher = Hasher(n)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sets = hasher.sets(batch.column("text").to_pylist())
+                bounds = size_classes(max(map(len, sets), default=0) * 100 // percent + 1)
+                of, kind, bits = [], [], []
+                for i, x in enumerate(sets):
+                    c = int(np.searchsorted(bounds, len(x), "right")) - 1
+                    while bounds[c] <= len(x) or 100 * len(x) >= percent * int(bounds[c]):  # its own class and those of larger partners
+                        of.append(i)
+                        kind.append(c)
+                        bits.append(sketches(mix(x), np.array([len(x)]), sketch_words(int(bounds[c + 1]), percent)).tobytes())
+                        c += 1
+                taken = batch.take(pa.array(of, pa.int64()))
+                yield pa.RecordBatch.from_arrays([taken.column("group"), pa.array(kind, pa.int64()), taken.column("key"), pa.array([len(sets[i]) for i in of], pa.int64()), pa.array(bits, pa.binary())], ["group", "kind", "key", "n", "bits"])
+
+    with_text = _with_texts(large.select("group", "key", "ident"), texts).select("group", "key", "text")
+    rows = staged(with_text.mapInArrow(told, "`group` long, kind long, key long, n long, bits binary"), "sketches")
+    dealt = rows.groupBy("group", "kind").agg(F.ceil(F.count("*") / SHEET).cast("int").alias("j")).where("j > 1")
+    rows = rows.join(_few(staged(dealt, "dealt")), ["group", "kind"], "left").withColumn("j", F.coalesce("j", F.lit(1)))
+    rows = rows.withColumn("own", _block(F.col("key"), F.col("j")))
+    # a pair of blocks is a task
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("j") - 1)))
+    rows = rows.select("group", "kind", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "key", "n", "bits")
+
+    def near(table: pa.Table) -> pa.Table:
+        key, size, own = (table.column(c).to_numpy() for c in ("key", "n", "own"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), _U).reshape(len(key), -1)
+        links = sketch_links(bits, size, own, percent)
+        return pa.table({"a": pa.array(key[[i for i, _ in links]], pa.int64()), "b": pa.array(key[[j for _, j in links]], pa.int64())})
+
+    kept = components(staged(rows.groupBy("group", "kind", "x", "y").applyInArrow(near, "a long, b long"), "sifted"))
+    again = large.join(kept, large["key"] == kept["node"]).select(F.col("component").alias("group"), "key", "ident", "n")
+    return staged(sized.where("m is null").select("group", "key", "ident", "n").unionByName(again), "members")
+
+
+def sketch_links(bits: np.ndarray, size: np.ndarray, block: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of rows that connect all whose sketches may be those of a similar pair: of two blocks if there are two, else of all."""
+    roots, links = np.arange(len(size)), []
+    two = len(size) > 0 and (block != block[0]).any()
+    for i in range(len(size)):
+        open_ = roots != roots[i]
+        open_[: i + 1] = False
+        if two:
+            open_ &= block != block[i]
+        at = np.flatnonzero(open_)
+        at = at[np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64) <= room(size[at], size[i], percent)]
+        for j in at.tolist():
+            if roots[j] != roots[i]:
+                links.append((i, j))
+                roots[roots == roots[j]] = roots[i]
+    return links
+
+
 def _regions(members: DataFrame, texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(tasks, links): pairs (a, b) linked on the way, and rows (group, block, ident, rest) of what remains to be joined.
 
@@ -562,7 +662,7 @@ def linked(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     members = groups.join(classes, groups["node"] == classes["key"]).select(F.col("component").alias("group"), "key", "ident", "n")
     members = staged(members, "members")
     texts = staged(texts.hint("merge").join(members.select("ident"), "ident", "left_semi"), "texts")
-    tasks, links = _regions(members, texts, n, percent)
+    tasks, links = _regions(_sifted(members, texts, n, percent), texts, n, percent)
     found = _joined(_with_texts(staged(tasks, "tasks"), texts).select("group", "block", "text", "rest"), n, percent)
     links = components(staged(found.union(links), "links"))
     heads = classes.join(links, classes["key"] == links["node"], "left").select("key", "first", F.coalesce("component", "key").alias("component"))
